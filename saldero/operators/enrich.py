@@ -7,12 +7,16 @@ enriched alone equals the same day inside a full load.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_label, month_start
 from ..functions.keyed import keyed_uniform
 from ..functions.money import AMOUNT, PRICE, row_sum, to_cents
+from ..session import ensure_checkpoint_dir
 
 # Rates and ranges of the simulated figures.
 TAX_RATE = 0.30
@@ -56,6 +60,41 @@ def add_costs(sales: DataFrame, noise_key: Column | None = None) -> DataFrame:
     )
 
 
+def with_position(sales: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
+    """Number the sales of each day from zero in the order of ``order_by``.
+
+    For sources without ``car_id``: ``F.col("position")`` then serves as the
+    noise key. Rows are range-partitioned and numbered where they are, so a day
+    may spread over many tasks; only the row count of each (partition, day) is
+    summed up. The sorted rows are checkpointed, because both the counts and
+    the numbers must come from one and the same partitioning.
+    """
+    ensure_checkpoint_dir(sales.sparkSession)
+    serial = F.monotonically_increasing_id()
+    ranked = (
+        sales.repartitionByRange("date", *order_by)
+        .sortWithinPartitions("date", *order_by)
+        .withColumn("_serial", serial)
+        .withColumn("_part", F.spark_partition_id())
+        .checkpoint()
+    )
+    runs = ranked.groupBy("date", "_part").agg(
+        F.min("_serial").alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    earlier = W.partitionBy("date").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = runs.select(
+        F.col("date").alias("_date"),
+        F.col("_part").alias("_run"),
+        "_first",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+    )
+    same_run = (F.col("_run") == F.col("_part")) & F.col("_date").eqNullSafe(F.col("date"))
+    placed = ranked.join(starts, same_run).withColumn(
+        name, F.col("_serial") - F.col("_first") + F.col("_before")
+    )
+    return placed.select(*sales.columns, name)
+
+
 def monthly_base(curated: DataFrame) -> DataFrame:
     """Exact sales and gross profit per dealer and month; keyless rows left out."""
     keyed = curated.where(F.col("dealer_name").isNotNull() & F.col("mes").isNotNull())

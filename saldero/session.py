@@ -43,6 +43,12 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_dir(spark)
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let ``DataFrame.checkpoint`` write below the shared folder."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"

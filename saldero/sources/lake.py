@@ -29,6 +29,14 @@ MONTH_PARTITION = "month"
 TYPED_TABLES = "typed"
 MARTS = "marts"
 
+_WRITE_SETTINGS = {
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # A partition value is one file however its bucket is merged with others, so
+    # merging small buckets saves no file and only costs parallel file opens.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+}
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -47,10 +55,10 @@ class Lake:
 
 
 @contextlib.contextmanager
-def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    names = {k.replace("__", "."): v for k, v in values.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    for key, value in names.items():
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of one write."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for key, value in values.items():
         spark.conf.set(key, value)
     try:
         yield
@@ -79,9 +87,7 @@ def write_partitions(
     """
     arranged = df.hint("rebalance", partition).sortWithinPartitions(partition, *sort_by)
     mode = "static" if replace_all else "dynamic"
-    with _settings(
-        df.sparkSession, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"
-    ):
+    with _settings(df.sparkSession, _WRITE_SETTINGS):
         (
             arranged.write.mode("overwrite")
             .option("partitionOverwriteMode", mode)
@@ -97,8 +103,11 @@ def read_layer(
     reader = spark.read.option("mergeSchema", str(merge_schema).lower())
     if base is not None:
         reader = reader.option("basePath", base)
+    # listing takes place in this call: one task per core, not one per directory
+    listing = {_LISTING_TASKS: str(spark.sparkContext.defaultParallelism)}
     try:
-        return reader.parquet(path)
+        with _settings(spark, listing):
+            return reader.parquet(path)
     except AnalysisException as error:
         if is_absent(error):
             return None

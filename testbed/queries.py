@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldero.functions.dates import replay_date
+from saldero.functions.dates import month_label, replay_date
 from saldero.functions.keyed import keyed_uniform
 from saldero.functions.money import decimals_to_double
 from saldero.operators import quality
+from saldero.operators.enrich import add_costs, with_position
 from saldero.operators.ranking import top_n, with_leader
 from saldero.operators.timeintel import moving_mean_7d, with_previous_month
 from saldero.operators.waterfall import INPUTS, waterfall
@@ -22,8 +23,12 @@ from saldero.sources.lake import (
     CURATED_EXPENSES,
     CURATED_SALES,
     CURATED_TARGETS,
+    DAY_PARTITION,
+    MONTH_PARTITION,
     RAW_SALES,
     Lake,
+    read_layer,
+    write_partitions,
 )
 from saldero.sources.sales import load_source
 
@@ -76,6 +81,16 @@ def _enriched(spark, sf):
     return t.curated(spark, sf)
 
 
+@_query("E9_position_key")
+def _positions(spark, sf):
+    """Costs of a source without ids, keyed by the position inside the day."""
+    named = t.sales(spark, sf).withColumn("ticket", F.col("car_id").cast("bigint"))
+    placed = with_position(named.drop("car_id"), ["ticket"])
+    return add_costs(placed, F.col("position")).select(
+        "ticket", "date", "position", "costo", "utilidad_bruta"
+    )
+
+
 @_query("E_monthly_expenses")
 def _expenses(spark, sf):
     return t.monthly_tables(spark, sf)[0]
@@ -240,7 +255,7 @@ def _backfill(spark, sf):
     rows, lake = t.sales(spark, sf), _lake(spark, "backfill")
     first, last = _bounds(rows)
     jobs.backfill(rows, first, last, lake)
-    raw = spark.read.parquet(lake.path(RAW_SALES))
+    raw = read_layer(spark, lake.path(RAW_SALES))
     return jobs.day_counts(raw, first, last, "date")
 
 
@@ -261,10 +276,9 @@ def _roundtrip(spark, sf):
 
 @_query("S17_stored_marts")
 def _stored_marts(spark, sf):
-    lake, _, _ = _loaded_lake(spark, sf, "stored")
-    warehouse.refresh_warehouse(spark, lake)
-    stored = warehouse.import_marts(spark, lake, warehouse.open_marts(spark, lake))
-    return report.dealer_matrix(stored)
+    """The dealer matrix from mart views that were stored and read back."""
+    lake = _lake(spark, "stored")
+    return report.dealer_matrix(warehouse.import_marts(spark, lake, t.marts(spark, sf)))
 
 
 @_query("I5_idempotent")
@@ -290,8 +304,8 @@ def _month_rebuild(spark, sf):
     jobs.backfill(rows, first, last, lake)
     jobs.curate_range(spark, first, middle, lake)
     jobs.curate_range(spark, middle + dt.timedelta(days=1), last, lake)
-    expenses = spark.read.parquet(lake.path(CURATED_EXPENSES))
-    targets = spark.read.parquet(lake.path(CURATED_TARGETS)).select(
+    expenses = read_layer(spark, lake.path(CURATED_EXPENSES))
+    targets = read_layer(spark, lake.path(CURATED_TARGETS)).select(
         "dealer_name", "mes", "objetivo_ventas"
     )
     return expenses.drop("month").join(targets, ["dealer_name", "mes"], "full_outer")
@@ -299,8 +313,16 @@ def _month_rebuild(spark, sf):
 
 @_query("I6_month_refresh")
 def _month_refresh(spark, sf):
-    """Typed sales after a refresh that replaces two months only."""
-    lake, _, _ = _loaded_lake(spark, sf, "refresh")
+    """Typed sales built in full, then again for two months only."""
+    lake = _lake(spark, "refresh")
+    expenses, targets = t.monthly_tables(spark, sf)
+    sold = t.curated(spark, sf).withColumn(DAY_PARTITION, F.col("date"))
+    write_partitions(sold, lake.path(CURATED_SALES), DAY_PARTITION)
+    label = month_label(F.col("mes"))
+    for table, layer in ((expenses, CURATED_EXPENSES), (targets, CURATED_TARGETS)):
+        write_partitions(
+            table.withColumn(MONTH_PARTITION, label), lake.path(layer), MONTH_PARTITION
+        )
     warehouse.refresh_tables(spark, lake)
     warehouse.refresh_months(spark, lake, [dt.date(1997, 2, 1), dt.date(1999, 12, 1)])
     return marts.sales_by_month(warehouse.open_tables(spark, lake)["ventas"])
@@ -315,7 +337,7 @@ def _partial(spark, sf):
         jobs.backfill(rows, first, last, lake)
     except quality.ValidationError:
         pass
-    raw = spark.read.parquet(lake.path(RAW_SALES))
+    raw = read_layer(spark, lake.path(RAW_SALES))
     return raw.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -325,7 +347,7 @@ def _daily_run(spark, sf):
     rows, lake = t.sales(spark, sf), _lake(spark, "daily")
     _, last = _bounds(rows)
     jobs.run_replayed_day(rows, last.replace(year=last.year + 25), last.year, lake)
-    return spark.read.parquet(lake.path(CURATED_SALES)).drop("sale_date")
+    return read_layer(spark, lake.path(CURATED_SALES)).drop("sale_date")
 
 
 # --- measures -------------------------------------------------------------------------
