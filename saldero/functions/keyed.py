@@ -17,22 +17,20 @@ MISSING_KEY = "None"
 _TWO_POW_64 = float(2**64)
 
 
-def _key_text(key: Column | str) -> Column:
-    """A string is taken as literal text, a column as its string form."""
-    if isinstance(key, str):
-        return F.lit(key)
+def _key_text(key: str) -> str:
     # concat_ws would skip a null and silently change the remaining key
-    return F.coalesce(key.cast("string"), F.lit(MISSING_KEY))
+    return f"coalesce(cast({key} as string), '{MISSING_KEY}')"
 
 
-def keyed_uniform(lo: float, hi: float, *keys: Column | str) -> Column:
-    """Uniform double in [lo, hi): leading 64 bits of SHA-256 over the keys.
+def keyed_uniform(lo: float, hi: float, label: str, *keys: str) -> Column:
+    """Uniform double in [lo, hi): leading 64 bits of SHA-256 over label and keys.
 
-    Sixteen hex digits become an unsigned decimal text and then the nearest
-    double, which is the correctly rounded 64-bit integer; dividing by 2^64
-    is exact. Everything stays in generated JVM code.
+    ``keys`` are columns or SQL expressions. Sixteen hex digits become an
+    unsigned decimal text and then the nearest double, which is the correctly
+    rounded 64-bit integer; dividing by 2^64 is exact. Everything stays in
+    generated JVM code.
     """
-    text = F.concat_ws(SEPARATOR, F.lit(str(SEED)), *[_key_text(k) for k in keys])
-    head = F.substring(F.sha2(text, 256), 1, 16)
-    unit = F.conv(head, 16, 10).cast("double") / F.lit(_TWO_POW_64)
-    return F.lit(float(lo)) + F.lit(float(hi) - float(lo)) * unit
+    parts = ", ".join([f"'{SEED}'", f"'{label}'", *map(_key_text, keys)])
+    digest = f"sha2(concat_ws('{SEPARATOR}', {parts}), 256)"
+    unit = f"cast(conv(substring({digest}, 1, 16), 16, 10) as double) / {_TWO_POW_64!r}D"
+    return F.expr(f"{float(lo)!r}D + {float(hi) - float(lo)!r}D * ({unit})")

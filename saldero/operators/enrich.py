@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_label, month_start
+from ..functions.dates import month_start
 from ..functions.keyed import keyed_uniform
 from ..functions.money import AMOUNT, PRICE, row_sum, to_cents
 from ..session import ensure_checkpoint_dir
@@ -38,19 +38,17 @@ MONTH_KEY = ("dealer_name", "mes")
 
 def model_margin() -> Column:
     """Gross-margin share, constant per (company, model)."""
-    return keyed_uniform(*MARGIN_RANGE, "margen", F.col("company"), F.col("model"))
+    return keyed_uniform(*MARGIN_RANGE, "margen", "company", "model")
 
 
-def add_costs(sales: DataFrame, noise_key: Column | None = None) -> DataFrame:
+def add_costs(sales: DataFrame, noise_key: str = "car_id") -> DataFrame:
     """Add ``costo``, ``utilidad_bruta`` and ``mes`` to each sale.
 
     The per-sale noise is keyed by ``car_id``. A frame without it needs another
     column that identifies the sale (see ``with_position``).
     """
-    if noise_key is None:
-        if "car_id" not in sales.columns:
-            raise ValueError("add_costs needs car_id or an explicit noise_key")
-        noise_key = F.col("car_id")
+    if noise_key not in sales.columns:
+        raise ValueError(f"no column {noise_key!r} to key the noise of each sale")
     noise = keyed_uniform(*NOISE_RANGE, "ruido", noise_key)
     price = F.col("price").cast("double")
     return (
@@ -63,8 +61,7 @@ def add_costs(sales: DataFrame, noise_key: Column | None = None) -> DataFrame:
 def with_position(sales: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
     """Number the sales of each day from zero in the order of ``order_by``.
 
-    For sources without ``car_id``: ``F.col("position")`` then serves as the
-    noise key. Rows are range-partitioned and numbered where they are, so a day
+    For sources without ``car_id``: the position then serves as the noise key. Rows are range-partitioned and numbered where they are, so a day
     may spread over many tasks; only the row count of each (partition, day) is
     summed up. The sorted rows are checkpointed, because both the counts and
     the numbers must come from one and the same partitioning.
@@ -107,7 +104,7 @@ def monthly_base(curated: DataFrame) -> DataFrame:
 
 
 def _share(name: str, bounds: tuple[float, float]) -> Column:
-    return keyed_uniform(*bounds, name, F.col("dealer_name"), month_label(F.col("mes")))
+    return keyed_uniform(*bounds, name, "dealer_name", "date_format(mes, 'yyyy-MM')")
 
 
 def with_expenses(base: DataFrame) -> DataFrame:

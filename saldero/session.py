@@ -21,6 +21,8 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8, **settings: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # call-site capture for every column expression doubles planning time
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

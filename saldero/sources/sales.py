@@ -91,21 +91,25 @@ def drop_pii(df: DataFrame) -> DataFrame:
     return df.drop(*PII_COLUMNS)
 
 
+def text_columns(raw: DataFrame) -> DataFrame:
+    """Normalised headers and missing-value tokens as null on an all-text frame."""
+    named = normalise_columns(raw)
+    return named.select(*[tokens_to_null(F.col(c)).alias(c) for c in named.columns])
+
+
 def read_csv_text(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
     """All columns as text, headers normalised, missing-value tokens as null.
 
     ``multiline`` allows line breaks inside quotes, at the price of files that
     cannot be split between tasks.
     """
-    raw = (
+    return text_columns(
         spark.read.option("header", "true")
         .option("escape", '"')
         .option("enforceSchema", "false")
         .option("multiLine", str(multiline).lower())
         .csv(path)
     )
-    named = normalise_columns(raw)
-    return named.select(*[tokens_to_null(F.col(c)).alias(c) for c in named.columns])
 
 
 def _parsed(date_format: str) -> Column:

@@ -1,0 +1 @@
+"""The scheduled load as a stream that drains and stops."""

@@ -59,9 +59,9 @@ def all_queries() -> dict[str, Query]:
 
 @_query("F1_keyed_uniform")
 def _uniform(spark, sf):
-    key = F.col("o_orderkey")
     return t.table(spark, sf, "orders").select(
-        key.cast("string").alias("car_id"), keyed_uniform(0.0, 1.0, "ruido", key).alias("u")
+        F.col("o_orderkey").cast("string").alias("car_id"),
+        keyed_uniform(0.0, 1.0, "ruido", "o_orderkey").alias("u"),
     )
 
 
@@ -86,7 +86,7 @@ def _positions(spark, sf):
     """Costs of a source without ids, keyed by the position inside the day."""
     named = t.sales(spark, sf).withColumn("ticket", F.col("car_id").cast("bigint"))
     placed = with_position(named.drop("car_id"), ["ticket"])
-    return add_costs(placed, F.col("position")).select(
+    return add_costs(placed, "position").select(
         "ticket", "date", "position", "costo", "utilidad_bruta"
     )
 

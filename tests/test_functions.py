@@ -21,10 +21,10 @@ def plain_uniform(lo, hi, *keys):
 
 def test_golden_uniforms(spark):
     row = spark.range(1).select(
-        keyed_uniform(0, 1, "margen", "Ford", "m1").alias("a"),
-        keyed_uniform(0, 1, "ruido", F.lit("C000")).alias("b"),
-        keyed_uniform(0, 1, "nomina", F.lit("Norte"), "2022-01").alias("c"),
-        keyed_uniform(0, 1, "objetivo", "Sur", "2022-02").alias("d"),
+        keyed_uniform(0, 1, "margen", "'Ford'", "'m1'").alias("a"),
+        keyed_uniform(0, 1, "ruido", "'C000'").alias("b"),
+        keyed_uniform(0, 1, "nomina", "'Norte'", "'2022-01'").alias("c"),
+        keyed_uniform(0, 1, "objetivo", "'Sur'", "'2022-02'").alias("d"),
     )
     assert list(row.first()) == [
         0.993939885129184,
@@ -36,14 +36,14 @@ def test_golden_uniforms(spark):
 
 def test_uniform_equals_plain_formula_on_many_keys(spark):
     rows = spark.range(5000).select(
-        F.col("id"), keyed_uniform(-0.01, 0.01, "ruido", F.col("id")).alias("u")
+        F.col("id"), keyed_uniform(-0.01, 0.01, "ruido", "id").alias("u")
     )
     assert all(r.u == plain_uniform(-0.01, 0.01, "ruido", r.id) for r in rows.collect())
 
 
 def test_missing_key_does_not_collapse_the_key_text(spark):
     row = spark.range(1).select(
-        keyed_uniform(0, 1, "m", F.lit(None).cast("string"), "x").alias("u")
+        keyed_uniform(0, 1, "m", "null", "'x'").alias("u")
     )
     assert row.first().u == plain_uniform(0, 1, "m", None, "x")
 
