@@ -3,6 +3,8 @@
 Both operators let a value contribute to every date it is visible from and
 aggregate again. That is exact over gaps, needs no ordering and no window
 whose partition could end in one task, and its input is already aggregated.
+With keys, rows are first placed by key: a key has at most one row per date of
+the calendar, and the repeated rows are then summed where they are made.
 """
 
 from __future__ import annotations
@@ -19,6 +21,10 @@ from ..functions.money import blank_minus, safe_ratio
 WINDOW_DAYS = 7
 
 
+def _placed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.repartition(*keys) if keys else rows
+
+
 def moving_mean_7d(
     daily: DataFrame, calendar: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -29,7 +35,7 @@ def moving_mean_7d(
     without sales is null. Without keys the result has every calendar day; with
     keys it has the days on which a key has a value to show.
     """
-    per_day = daily.groupBy(*keys, "fecha").agg(F.sum("ventas").alias("ventas"))
+    per_day = _placed(daily.groupBy(*keys, "fecha").agg(F.sum("ventas").alias("ventas")), keys)
     reach = F.sequence(F.col("fecha"), F.date_add(F.col("fecha"), WINDOW_DAYS - 1))
     spread = per_day.select(*keys, "ventas", F.posexplode(reach).alias("age", "day"))
     shown = spread.groupBy(*keys, F.col("day").alias("fecha")).agg(
@@ -55,7 +61,7 @@ def with_previous_month(
     gap never borrows from an older month. ``months`` bounds the result to the
     months of the model.
     """
-    per_month = monthly.groupBy(*keys, "mes").agg(F.sum("ventas").alias("ventas"))
+    per_month = _placed(monthly.groupBy(*keys, "mes").agg(F.sum("ventas").alias("ventas")), keys)
     spread = per_month.select(
         *keys,
         F.inline(

@@ -38,25 +38,24 @@ class Selection:
         return fact
 
     def monthly(self, marts: Marts) -> DataFrame:
-        fact = marts.kpi_mensual
-        if self.months is not None:
-            fact = fact.where(F.col("mes").isin(list(self.months)))
-        return self._dealers(fact, marts)
+        return self._dealers(self._months(marts.kpi_mensual), marts)
 
     def daily(self, marts: Marts) -> DataFrame:
-        return self._dealers(self.days(marts.kpi_diario), marts)
-
-    def days(self, rows: DataFrame) -> DataFrame:
-        """Month filter on a frame at day grain."""
-        if self.months is None:
-            return rows
-        return rows.where(month_start(F.col("fecha")).isin(list(self.months)))
+        return self._dealers(self._months(marts.kpi_diario), marts)
 
     def model_months(self, marts: Marts) -> DataFrame:
         """Months in context: only the month slicer reaches this dimension."""
+        return self._months(marts.dim_mes)
+
+    def days(self, rows: DataFrame) -> DataFrame:
+        """Month filter on a result at day grain."""
+        return self._months(rows.withColumn("mes", month_start(F.col("fecha")))).drop("mes")
+
+    def _months(self, rows: DataFrame) -> DataFrame:
+        """On ``mes`` itself, the partition column of every stored fact."""
         if self.months is None:
-            return marts.dim_mes
-        return marts.dim_mes.where(F.col("mes").isin(list(self.months)))
+            return rows
+        return rows.where(F.col("mes").isin(list(self.months)))
 
 
 EVERYTHING = Selection()
@@ -71,9 +70,8 @@ def star_monthly(marts: Marts) -> DataFrame:
 
 def star_daily(marts: Marts) -> DataFrame:
     """Daily fact beside its dealer, day and (through the day) month attributes."""
-    return marts.kpi_diario.join(marts.dim_concesionaria, "dealer_name", "left").join(
-        marts.dim_fecha, "fecha", "left"
-    )
+    daily = marts.kpi_diario.drop("mes").join(marts.dim_concesionaria, "dealer_name", "left")
+    return daily.join(marts.dim_fecha, "fecha", "left")
 
 
 def headline_cards(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
@@ -135,9 +133,7 @@ def dealer_ranking(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame
 def attainment_of_top(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     """Target attainment of the top dealers by sales, banded."""
     names = ["ventas", "cumplimiento", "color_cumplimiento"]
-    fact = selection.monthly(marts)
-    leaders = top_n(evaluate(fact, ["dealer_name"], ["ventas"])).select("dealer_name")
-    return evaluate(fact, ["dealer_name"], names).join(leaders, "dealer_name", "left_semi")
+    return top_n(evaluate(selection.monthly(marts), ["dealer_name"], names))
 
 
 def dealer_matrix(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:

@@ -112,12 +112,18 @@ def import_marts(spark: SparkSession, lake: Lake, marts: Marts) -> Marts:
     """Store the mart views and return them read back.
 
     Reports then start from facts at dealer-month and dealer-day grain instead
-    of aggregating the sales again for each question.
+    of aggregating the sales again for each question, and a month filter reads
+    only its own directories.
     """
+    frames = {**marts.views(), "kpi_diario": marts.kpi_diario}
     stored = {}
-    for name, frame in marts.views().items():
-        frame.write.mode("overwrite").parquet(lake.mart(name))
-        stored[name] = spark.read.parquet(lake.mart(name))
+    for name, frame in frames.items():
+        path = lake.mart(name)
+        if name in ("kpi_diario", "kpi_mensual"):
+            write_partitions(frame, path, _PARTITION, ("dealer_name",), replace_all=True)
+        else:
+            frame.write.mode("overwrite").parquet(path)
+        stored[name] = read_layer(spark, path)
     calendar = stored["dim_fecha"]
     return Marts(
         kpi_mensual=stored["kpi_mensual"],

@@ -111,7 +111,7 @@ def _typed(spark, sf):
 
 @_query("A1_kpi_daily")
 def _kpi_daily(spark, sf):
-    return t.marts(spark, sf).kpi_diario
+    return t.marts(spark, sf).views()["kpi_diario"]
 
 
 @_query("A2_kpi_monthly")
@@ -121,7 +121,7 @@ def _kpi_monthly(spark, sf):
 
 @_query("A1_kpi_daily_lineitem")
 def _kpi_daily_lines(spark, sf):
-    return t.line_marts(spark, sf).kpi_diario
+    return t.line_marts(spark, sf).views()["kpi_diario"]
 
 
 @_query("A2_kpi_monthly_lineitem")
