@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_range, month_label, replay_day
-from ..operators.enrich import add_costs, monthly_base, monthly_expenses, monthly_targets
+from ..operators.enrich import (
+    add_costs,
+    monthly_base,
+    monthly_expenses,
+    monthly_targets,
+    with_position,
+)
 from ..operators.quality import (
     Limits,
     ValidationError,
@@ -24,6 +30,7 @@ from ..operators.quality import (
     raw_report,
     to_issues,
 )
+from ..session import scratch_path
 from ..sources.lake import (
     CURATED_EXPENSES,
     CURATED_SALES,
@@ -62,15 +69,33 @@ class _Verdict:
             raise ValidationError(context, self.issues)
 
 
+def _staged(rows: DataFrame) -> DataFrame:
+    """The rows written once as Parquet below the shared folder and read back."""
+    path = f"{scratch_path(rows.sparkSession, 'stage')}/rows"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def backfill(
-    sales: DataFrame, start: dt.date, end: dt.date, lake: Lake, limits: Limits = Limits()
+    sales: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    lake: Lake,
+    limits: Limits = Limits(),
+    *,
+    stage: bool = False,
 ) -> dict[dt.date, int]:
     """Write the raw days of an inclusive range; rows per day, zeros included.
 
     A day without sales writes nothing and leaves an older partition alone.
+    The rules and the writer each read ``sales``. ``stage`` keeps an expensive
+    source (text files, joins) to one read: the rules then scan only the
+    columns they need of a staged copy.
     """
     days = day_range(start, end)
     chosen = sales.where(F.col("date").between(F.lit(start), F.lit(end)))
+    if stage:
+        chosen = _staged(chosen)
     verdict = _Verdict(raw_report(chosen, by="date", limits=limits))
     passed = verdict.passed()
     if passed:
@@ -85,6 +110,18 @@ def backfill(
     return {day: verdict.rows.get(day, 0) for day in days}
 
 
+def _costed(raw: DataFrame) -> DataFrame:
+    """Costs of raw sales; without ids, the position inside the day is the key.
+
+    Positions follow the order of the sale's own columns, so that a repeated
+    run numbers the same rows alike.
+    """
+    if "car_id" in raw.columns:
+        return add_costs(raw)
+    order = sorted(set(raw.columns) - {"date", DAY_PARTITION})
+    return add_costs(with_position(raw, order), "position").drop("position")
+
+
 def ingest_day(sales: DataFrame, day: dt.date, lake: Lake, limits: Limits = Limits()) -> int:
     return backfill(sales, day, day, lake, limits)[day]
 
@@ -97,7 +134,7 @@ def curate_range(
     raw = read_days(spark, lake.path(RAW_SALES), start, end)
     if raw is None:
         return {day: 0 for day in days}
-    curated = add_costs(raw)
+    curated = _costed(raw)
     verdict = _Verdict(curated_report(curated, raw, by=DAY_PARTITION, limits=limits))
     passed = verdict.passed()
     if passed:
@@ -115,7 +152,7 @@ def curate_day(
     raw = read_days(spark, lake.path(RAW_SALES), day, day)
     if raw is None:
         return 0
-    curated = add_costs(raw)
+    curated = _costed(raw)
     verdict = _Verdict(curated_report(curated, raw, by=DAY_PARTITION, limits=limits))
     verdict.raise_if_failed(f"curated {verdict.failed}")
     if verdict.rows:

@@ -30,6 +30,8 @@ TYPED_TABLES = "typed"
 MARTS = "marts"
 
 _WRITE_SETTINGS = {
+    # splitting a partition value with a large share of the rows is adaptive work
+    "spark.sql.adaptive.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # A partition value is one file however its bucket is merged with others, so
     # merging small buckets saves no file and only costs parallel file opens.

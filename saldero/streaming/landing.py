@@ -55,7 +55,7 @@ def drain_landing(
         days = [row["date"] for row in touched.collect() if row["date"] is not None]
         sales = load_source(spark, landing, profile)
         for start, end in contiguous(days):
-            backfill(sales, start, end, lake, limits)
+            backfill(sales, start, end, lake, limits, stage=True)
             curate_range(spark, start, end, lake, limits)
 
     query = (

@@ -40,6 +40,21 @@ def test_backfill_reports_every_day(spark, gap_sales, lake):
         jobs.backfill(gap_sales, start, dt.date(2021, 12, 31), lake)
 
 
+def test_staged_load_equals_the_direct_one(spark, shared_sales, lake, tmp_path):
+    other = type(lake)(str(tmp_path / "staged"))
+    direct = jobs.backfill(shared_sales, FIRST, LAST, lake)
+    assert jobs.backfill(shared_sales, FIRST, LAST, other, stage=True) == direct
+    assert rows(spark, other, RAW_SALES) == rows(spark, lake, RAW_SALES)
+
+
+def test_sales_without_ids_are_keyed_by_position(spark, shared_sales, lake):
+    jobs.backfill(shared_sales.drop("car_id"), FIRST, LAST, lake)
+    assert sum(jobs.curate_range(spark, FIRST, LAST, lake).values()) == 24
+    first = rows(spark, lake, CURATED_SALES)
+    jobs.curate_range(spark, FIRST, LAST, lake)
+    assert rows(spark, lake, CURATED_SALES) == first and len(first) == 24
+
+
 def test_one_day_is_replaced_and_an_empty_day_is_left_alone(spark, gap_sales, lake):
     day = dt.date(2022, 1, 1)
     assert jobs.ingest_day(gap_sales, day, lake) == 2
