@@ -185,6 +185,9 @@ def prepare_sales(df: DataFrame) -> DataFrame:
     for field in named.schema.fields:
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             columns[field.name] = nan_to_null(F.col(field.name))
+    if isinstance(named.schema["price"].dataType, T.NumericType):
+        # one price type in every partition, whatever type a load came with
+        columns["price"] = nan_to_null(F.col("price").cast("double"))
     if isinstance(named.schema["date"].dataType, (T.TimestampType, T.TimestampNTZType)):
         columns["date"] = F.to_date("date")
     if "car_id" in named.columns:

@@ -61,7 +61,7 @@ def write_lines(path: Path, lines: list[str]) -> str:
 
 @pytest.fixture(scope="session")
 def shared_csv(tmp_path_factory) -> str:
-    return write_lines(tmp_path_factory.mktemp("src") / "Car Sales.csv", shared_csv_lines())
+    return write_lines(tmp_path_factory.mktemp("src") / "sales 2022.csv", shared_csv_lines())
 
 
 @pytest.fixture

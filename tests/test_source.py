@@ -93,7 +93,7 @@ def test_missing_tokens_and_quotes(spark, tmp_path):
 
 def test_choosing_a_csv(spark, tmp_path):
     one = tmp_path / "one"
-    write_lines(one / "deep" / "Car Sales.csv", shared_csv_lines())
+    write_lines(one / "deep" / "sales 2022.csv", shared_csv_lines())
     assert load_source(spark, choose_csv(spark, str(one))).count() == 24
 
     two = tmp_path / "two"
@@ -122,6 +122,10 @@ def test_prepare_typed_frame(spark):
     row = prepare_sales(frame).first()
     assert (row.car_id, row.date, row.price) == ("7", dt.date(2022, 1, 5), None)
     assert "phone" not in row.asDict()
+    whole = frame.withColumn("Price ($)", F.lit(100))
+    assert dict(prepare_sales(whole).dtypes)["price"] == "double"
+    text = frame.withColumn("Price ($)", F.lit("cheap"))
+    assert dict(prepare_sales(text).dtypes)["price"] == "string"
 
 
 def test_extra_columns_pass_through(spark, tmp_path):
