@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_index, line_runs, packing, token_counts, tree_bpe
+from . import exact_index, line_runs, near_duplicates, packing, token_counts, tree_bpe
 from .frames import read_table
 from ..session import scratch_path
 
@@ -42,6 +42,10 @@ def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), path)
@@ -69,6 +73,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_tree": op1_bpe_tree,
         "op2_line_runs": op2_line_runs,
+        "op5_near_duplicates": op5_near_duplicates,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
