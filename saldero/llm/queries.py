@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_index, line_runs, near_duplicates, packing, token_counts, tree_bpe
+from . import (
+    chat_format,
+    exact_index,
+    line_runs,
+    near_duplicates,
+    packing,
+    token_counts,
+    topk_search,
+    tree_bpe,
+    warc,
+)
 from .frames import read_table
 from ..session import scratch_path
 
@@ -42,6 +52,19 @@ def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_path(spark, 'archives')}/warc"
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -69,14 +92,36 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    conversations = read_table(spark, sf_dir, "conversations").select(*extra.columns).union(extra)
+    template = chat_format.MarkedTemplate()
+    formatted = chat_format.format_conversations(conversations, template)
+    return chat_format.read_back(formatted, template).select(
+        "conv_id",
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_tree": op1_bpe_tree,
         "op2_line_runs": op2_line_runs,
+        "op3_warc_segments": op3_warc_segments,
+        "op4_topk_search": op4_topk_search,
         "op5_near_duplicates": op5_near_duplicates,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
+        "op10_chat_format": op10_chat_format,
     }
 
 
@@ -125,5 +170,64 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+_DIGITS = " || ".join(
+    f"substr('{warc.BASE32}', (('0x' || substr(hex, {i + 1}, 5))::BIGINT >> {shift} & 31)::INT + 1, 1)"
+    for i in range(0, 40, 5)
+    for shift in (15, 10, 5, 0)
+)
+OP3_SQL = f"""
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+           sha1(coalesce(html, '')) AS hex, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS owner
+    FROM pages
+)
+SELECT page_id, payload_bytes, {_DIGITS} AS payload_digest,
+       CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM payloads
+"""
+
+OP4_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+OP10_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), rows AS (
+    SELECT *, length('### ' || role || ': ' || '</turn>' || chr(10))
+              + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')) AS formatted
+    FROM turns
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS said,
+           coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS loss,
+           sum(formatted)::BIGINT AS formatted_chars
+    FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars
+FROM whole
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op2_line_runs": _op2_sql(), "op8_exact_dedup": OP8_SQL}
+    return {
+        "op2_line_runs": _op2_sql(),
+        "op3_warc_segments": OP3_SQL,
+        "op4_topk_search": OP4_SQL,
+        "op8_exact_dedup": OP8_SQL,
+        "op10_chat_format": OP10_SQL,
+    }
