@@ -15,6 +15,7 @@ from . import (
     packing,
     token_counts,
     topk_search,
+    toxicity,
     tree_bpe,
     warc,
 )
@@ -69,6 +70,19 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    weights = toxicity.learn(documents, labels, ~held_out)
+    scored = toxicity.score(documents, weights, keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), path)
@@ -118,6 +132,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc_segments": op3_warc_segments,
         "op4_topk_search": op4_topk_search,
         "op5_near_duplicates": op5_near_duplicates,
+        "op6_toxicity": op6_toxicity,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
