@@ -52,19 +52,23 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the labelled rows that are fitted; all rows are scored."""
+    """``sample`` bounds the labelled rows that are fitted and ``most_words`` the
+    words found in them, the most telling first; all rows are scored."""
 
     sample: int = 8000
     least_texts: int = 4
-    least_z: float = 4.0
-    ridge: float = 1e-3
+    least_z: float = 8.0
+    most_words: int = 4000
+    ridge: float = 1e-5
     swap_penalty: float = 1.0
     steps: int = 300
     rate: float = 0.1
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(_WORD.findall((text or "").lower()))
+    """The words of a text and, starred, the beginnings that inflected forms share."""
+    words = set(_WORD.findall((text or "").lower()))
+    return words | {f"{w[:n]}*" for w in words for n in (4, 5) if len(w) > n}
 
 
 def swaps(words: set[str]) -> Iterator[set[str]]:
@@ -72,7 +76,7 @@ def swaps(words: set[str]) -> Iterator[set[str]]:
     for term in sorted(words & KIND.keys()):
         for other in KIND[term]:
             if other != term:
-                yield words - {term} | {other}
+                yield words - words_of(term) | words_of(other)
 
 
 def telling_words(texts: list[set[str]], labels: np.ndarray, settings: Settings) -> list[str]:
@@ -84,17 +88,18 @@ def telling_words(texts: list[set[str]], labels: np.ndarray, settings: Settings)
     for words, label in zip(texts, labels.tolist(), strict=True):
         counts[label].update(words)
     seen = counts[0] + counts[1]
-    identity = {w for w in seen if w in KIND}
-    chosen = set(identity)
-    for term in identity:
-        chosen.update(KIND[term])
+    found = []
     for word, total in seen.items():
         if total < settings.least_texts:
             continue
         share = total / n.sum()
         spread = np.sqrt(share * (1 - share) * (1 / n).sum())
-        if spread and abs(counts[1][word] / n[1] - counts[0][word] / n[0]) / spread > settings.least_z:
-            chosen.add(word)
+        apart = abs(counts[1][word] / n[1] - counts[0][word] / n[0])
+        if spread and apart / spread > settings.least_z:
+            found.append((-apart / spread, word))
+    chosen = {word for _, word in sorted(found)[: settings.most_words]}
+    for term in seen.keys() & KIND.keys():
+        chosen.update(*map(words_of, KIND[term]))
     return sorted(chosen)
 
 
@@ -117,15 +122,18 @@ def fit(texts: list[set[str]], labels: np.ndarray, settings: Settings) -> dict[s
         return {}
     index = {w: i for i, w in enumerate(vocabulary)}
     x, y = _matrix(texts, index), labels.astype(np.float32)
-    pairs = [(i, copy) for i, words in enumerate(texts) for copy in swaps(words)]
-    change = _matrix([c for _, c in pairs], index) - x[[i for i, _ in pairs]]
+    # a swap changes the score by the words that go and come, so equal ones count together
+    swapped = Counter(
+        (frozenset(words - copy), frozenset(copy - words)) for words in texts for copy in swaps(words)
+    )
+    change = _matrix([set(b) for _, b in swapped], index) - _matrix([set(a) for a, _ in swapped], index)
+    share = np.array(list(swapped.values()), np.float32) / max(1, swapped.total())
     weights = np.zeros(x.shape[1], np.float32)
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, settings.steps + 1):
         p = 1 / (1 + np.exp(-(x @ weights)))
         slope = x.T @ (p - y) / len(y) + settings.ridge * weights * (np.arange(len(weights)) < len(index))
-        if len(pairs):
-            slope += settings.swap_penalty * 2 * change.T @ (change @ weights) / len(pairs)
+        slope += settings.swap_penalty * 2 * change.T @ (share * (change @ weights))
         mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
         weights = weights - settings.rate * (mean / (1 - 0.9**step)) / (
             np.sqrt(square / (1 - 0.999**step)) + 1e-8
