@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from saldero.llm import exact_index, graph, line_runs, near_duplicates
+from saldero.llm.frames import byte_slices
 from saldero.session import scratch_path
 
 SCHEMA = "doc_id long, text string, digest string, row int, id string"
@@ -210,3 +212,15 @@ def test_components_of_chains_and_stars(spark):
     assert {r["u"]: r["v"] for r in found} == {k: 0 for k in range(1, 51)} | {
         k: 100 for k in range(101, 160)
     }
+
+
+def test_every_slice_of_a_batch_has_its_own_sets():
+    texts = pa.array([f"Ääé {k} b{k} C d{k} E f" for k in range(300)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    sliced = [
+        s
+        for part in byte_slices(batch, 0, 500)
+        for s in near_duplicates.shingle_sets(part.column(0), 5)
+    ]
+    whole = near_duplicates.shingle_sets(texts, 5)
+    assert all((a == b).all() for a, b in zip(sliced, whole, strict=True))
