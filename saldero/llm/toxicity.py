@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -72,11 +71,17 @@ def words_of(text: str | None) -> set[str]:
 
 
 def swaps(words: set[str]) -> Iterator[set[str]]:
-    """The words with one identity term at a time swapped for each other one of its kind."""
+    """The words with one identity term at a time swapped for each other one of its kind.
+
+    The last copy has a neutral word instead that the model does not know, so
+    that scores of a kind meet where no group is named, not at the highest.
+    """
     for term in sorted(words & KIND.keys()):
+        rest = words - words_of(term)
         for other in KIND[term]:
             if other != term:
-                yield words - words_of(term) | words_of(other)
+                yield rest | words_of(other)
+        yield rest
 
 
 def telling_words(texts: list[set[str]], labels: np.ndarray, settings: Settings) -> list[str]:
@@ -168,26 +173,23 @@ def learn(
     )
     sample = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
 
-    def to_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield pd.DataFrame(
-                {
-                    "id": rows["id"],
-                    "label": rows["label"],
-                    "words": [" ".join(sorted(words_of(t))) for t in rows["text"]],
-                }
-            )
-
-    def in_one_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat([*batches, pd.DataFrame({"id": [], "label": [], "words": []})])
-        rows = rows.sort_values(["id", "words"])
-        found = fit(
-            [set(w.split()) for w in rows["words"]], rows["label"].to_numpy().astype(int), settings
+    def to_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [" ".join(sorted(words_of(t.as_py()))) for t in batch.column(2)]
+            columns = [*batch.columns[:2], pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "label", "words"])
+
+    def in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # in one order, whichever task delivered first
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        found = fit([set(r[2].split()) for r in rows], np.array([r[1] for r in rows], int), settings)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.float64())],
+            names=["word", "weight"],
         )
-        yield pd.DataFrame({"word": list(found), "weight": list(found.values())})
 
-    words = sample.mapInPandas(to_words, "id long, label int, words string")
-    model = words.repartition(1).mapInPandas(in_one_task, "word string, weight double")
+    words = sample.mapInArrow(to_words, "id long, label int, words string")
+    model = words.repartition(1).mapInArrow(in_one_task, "word string, weight double")
     return {r["word"]: r["weight"] for r in model.collect()}
 
 
