@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 
 # Computed amounts are whole cents; 18 digits stay in Spark's compact long form.
 AMOUNT = T.DecimalType(18, 2)
-# A source price keeps nine fractional digits. The quality gate's ceiling on
-# prices keeps it far inside the nine integer digits left, so it is compact too.
-PRICE = T.DecimalType(18, 9)
+# A source price keeps nine fractional digits and has room for nineteen integer
+# digits; its sums still fit the widest decimal.
+PRICE = T.DecimalType(28, 9)
 
 
 def to_cents(value: Column) -> Column:

@@ -34,6 +34,8 @@ EXPENSE_RANGES = {
 OPEX_COLUMNS = ("nomina", "renta", "marketing", "otros_gastos")
 EXPENSE_COLUMNS = (*EXPENSE_RANGES, "impuestos")
 MONTH_KEY = ("dealer_name", "mes")
+# What the curated layer adds to a sale.
+COST_TYPES = {"costo": "double", "utilidad_bruta": "double", "mes": "date"}
 
 
 def model_margin() -> Column:
@@ -61,16 +63,19 @@ def add_costs(sales: DataFrame, noise_key: str = "car_id") -> DataFrame:
 def with_position(sales: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
     """Number the sales of each day from zero in the order of ``order_by``.
 
-    For sources without ``car_id``: the position then serves as the noise key. Rows are range-partitioned and numbered where they are, so a day
-    may spread over many tasks; only the row count of each (partition, day) is
-    summed up. The sorted rows are checkpointed, because both the counts and
-    the numbers must come from one and the same partitioning.
+    For sources without ``car_id``: the position then serves as the noise key.
+    Rows are range-partitioned and numbered where they are, so a day may spread
+    over many tasks; equal rows, which are interchangeable, are told apart by
+    their place in the source, so that they spread as well. Only the row count
+    of each (partition, day) is summed up. The sorted rows are checkpointed,
+    because both the counts and the numbers must come from one partitioning.
     """
     ensure_checkpoint_dir(sales.sparkSession)
     serial = F.monotonically_increasing_id()
     ranked = (
-        sales.repartitionByRange("date", *order_by)
-        .sortWithinPartitions("date", *order_by)
+        sales.withColumn("_place", F.xxhash64(serial))
+        .repartitionByRange("date", *order_by, "_place")
+        .sortWithinPartitions("date", *order_by, "_place")
         .withColumn("_serial", serial)
         .withColumn("_part", F.spark_partition_id())
         .checkpoint()

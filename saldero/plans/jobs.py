@@ -1,14 +1,16 @@
 """Incremental jobs: load days, curate days, rebuild months, run one day.
 
-A range is judged in one pass before anything is written. When a day fails
-its rules, the days before it are written, the failing day and later ones are
+A job stages the rows it is about to write, judges the staged rows and then
+publishes them, so that what was judged is what is written. When a day fails
+its rules, the days before it are published, the failing day and later ones are
 not, and the error names the rules.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_range, month_label, replay_day
 from ..operators.enrich import (
+    COST_TYPES,
     add_costs,
     monthly_base,
     monthly_expenses,
@@ -24,13 +27,12 @@ from ..operators.enrich import (
 )
 from ..operators.quality import (
     Limits,
-    ValidationError,
+    RulesBroken,
     curated_report,
     monthly_report,
     raw_report,
-    to_issues,
 )
-from ..session import scratch_path
+from ..session import scratch
 from ..sources.lake import (
     CURATED_EXPENSES,
     CURATED_SALES,
@@ -43,6 +45,15 @@ from ..sources.lake import (
     read_months,
     write_partitions,
 )
+from ..sources.sales import SALE_TYPES
+
+CURATED_TYPES = SALE_TYPES | COST_TYPES
+
+
+class DayCounts(dict):
+    """Rows per day of a load; ``undated`` counts the rows without a date."""
+
+    undated = 0
 
 
 class _Verdict:
@@ -58,7 +69,7 @@ class _Verdict:
         self.rows = {r[scope]: r["n_rows"] for r in rows}
         failing = [r for r in rows if r["issues"]]
         self.failed = failing[0][scope] if failing else None
-        self.issues = to_issues(failing[0]["issues"]) if failing else []
+        self.broken = failing[0]["issues"] if failing else []
 
     def passed(self) -> list[dt.date]:
         """Scopes with rows before the first failing one."""
@@ -66,14 +77,37 @@ class _Verdict:
 
     def raise_if_failed(self, context: str) -> None:
         if self.failed is not None:
-            raise ValidationError(context, self.issues)
+            raise RulesBroken(context, self.broken)
+
 
+@contextmanager
+def _staged(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows written once as Parquet below the shared folder, for one job."""
+    spark = rows.sparkSession
+    with scratch(spark, "stage") as folder:
+        rows.write.parquet(f"{folder}/rows")
+        yield spark.read.schema(rows.schema).parquet(f"{folder}/rows")
 
-def _staged(rows: DataFrame) -> DataFrame:
-    """The rows written once as Parquet below the shared folder and read back."""
-    path = f"{scratch_path(rows.sparkSession, 'stage')}/rows"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+def _identified(sales: DataFrame) -> DataFrame:
+    """Sales with an id; without one, the position inside the day serves.
+
+    Positions follow the order of the sale's own columns, so that a repeated
+    run numbers the same rows alike.
+    """
+    if "car_id" in sales.columns:
+        return sales
+    order = sorted(set(sales.columns) - {"date"})
+    return with_position(sales, order, "car_id").withColumn("car_id", F.col("car_id").cast("string"))
+
+
+def _declared(rows: DataFrame, types: dict[str, str]) -> DataFrame:
+    """The declared columns with their types, absent ones as nulls, then the others."""
+    declared = [
+        (F.col(name) if name in rows.columns else F.lit(None)).cast(kind).alias(name)
+        for name, kind in types.items()
+    ]
+    return rows.select(*declared, *[F.col(c) for c in rows.columns if c not in types])
 
 
 def backfill(
@@ -83,23 +117,30 @@ def backfill(
     lake: Lake,
     limits: Limits = Limits(),
     *,
-    stage: bool = False,
-) -> dict[dt.date, int]:
+    stage: bool = True,
+) -> DayCounts:
     """Write the raw days of an inclusive range; rows per day, zeros included.
 
     A day without sales writes nothing and leaves an older partition alone.
-    The rules and the writer each read ``sales``. ``stage`` keeps an expensive
-    source (text files, joins) to one read: the rules then scan only the
-    columns they need of a staged copy.
+    Rows without a date cannot be placed; they are counted in ``undated``.
+    The rules judge the staged rows that are then written. ``stage=False`` is
+    for sources that cannot change meanwhile, such as stored Parquet.
     """
     days = day_range(start, end)
-    chosen = sales.where(F.col("date").between(F.lit(start), F.lit(end)))
+    within = F.col("date").between(F.lit(start), F.lit(end)) | F.col("date").isNull()
+    chosen = sales.where(within)
     if stage:
-        chosen = _staged(chosen)
-    verdict = _Verdict(raw_report(chosen, by="date", limits=limits))
+        with _staged(chosen) as frozen:
+            return _load(frozen, days, lake, limits)
+    return _load(chosen, days, lake, limits)
+
+
+def _load(chosen: DataFrame, days: list[dt.date], lake: Lake, limits: Limits) -> DayCounts:
+    dated = _identified(chosen.where(F.col("date").isNotNull()))
+    verdict = _Verdict(raw_report(dated, by="date", limits=limits))
     passed = verdict.passed()
     if passed:
-        good = chosen.where(F.col("date") <= F.lit(passed[-1]))
+        good = _declared(dated.where(F.col("date") <= F.lit(passed[-1])), SALE_TYPES)
         write_partitions(
             good.withColumn(DAY_PARTITION, F.col("date")),
             lake.path(RAW_SALES),
@@ -107,19 +148,9 @@ def backfill(
             ["dealer_name"],
         )
     verdict.raise_if_failed(f"raw {verdict.failed}")
-    return {day: verdict.rows.get(day, 0) for day in days}
-
-
-def _costed(raw: DataFrame) -> DataFrame:
-    """Costs of raw sales; without ids, the position inside the day is the key.
-
-    Positions follow the order of the sale's own columns, so that a repeated
-    run numbers the same rows alike.
-    """
-    if "car_id" in raw.columns:
-        return add_costs(raw)
-    order = sorted(set(raw.columns) - {"date", DAY_PARTITION})
-    return add_costs(with_position(raw, order), "position").drop("position")
+    counts = DayCounts((day, verdict.rows.get(day, 0)) for day in days)
+    counts.undated = chosen.where(F.col("date").isNull()).count()
+    return counts
 
 
 def ingest_day(sales: DataFrame, day: dt.date, lake: Lake, limits: Limits = Limits()) -> int:
@@ -130,41 +161,57 @@ def curate_range(
     spark: SparkSession, start: dt.date, end: dt.date, lake: Lake, limits: Limits = Limits()
 ) -> dict[dt.date, int]:
     """Enrich the raw days of a range, then rebuild each month they touch."""
-    days = day_range(start, end)
-    raw = read_days(spark, lake.path(RAW_SALES), start, end)
-    if raw is None:
-        return {day: 0 for day in days}
-    curated = _costed(raw)
-    verdict = _Verdict(curated_report(curated, raw, by=DAY_PARTITION, limits=limits))
-    passed = verdict.passed()
-    if passed:
-        good = curated.where(F.col(DAY_PARTITION) <= F.lit(passed[-1]))
-        write_partitions(good, lake.path(CURATED_SALES), DAY_PARTITION, ["dealer_name"])
-    verdict.raise_if_failed(f"curated {verdict.failed}")
+    counts, passed, verdict = _curate(spark, start, end, lake, limits)
+    if verdict is not None:
+        verdict.raise_if_failed(f"curated {verdict.failed}")
     build_months(spark, {d.replace(day=1) for d in passed}, lake)
-    return {day: verdict.rows.get(day, 0) for day in days}
+    return counts
 
 
 def curate_day(
     spark: SparkSession, day: dt.date, lake: Lake, limits: Limits = Limits()
 ) -> int:
     """Enrich one raw day without rebuilding its month."""
-    raw = read_days(spark, lake.path(RAW_SALES), day, day)
+    counts, _, verdict = _curate(spark, day, day, lake, limits)
+    if verdict is not None:
+        verdict.raise_if_failed(f"curated {verdict.failed}")
+    return counts[day]
+
+
+def _enriched(raw: DataFrame) -> DataFrame:
+    return _declared(add_costs(raw), CURATED_TYPES)
+
+
+def _curate(
+    spark: SparkSession,
+    start: dt.date,
+    end: dt.date,
+    lake: Lake,
+    limits: Limits,
+) -> tuple[dict[dt.date, int], list[dt.date], _Verdict | None]:
+    """Write the curated days that pass: rows per day, days written, the verdict.
+
+    The rows are hashed once, into the staged copy. The rules compare what was
+    staged with what the raw layer holds.
+    """
+    days = day_range(start, end)
+    raw = read_days(spark, lake.path(RAW_SALES), start, end, SALE_TYPES)
     if raw is None:
-        return 0
-    curated = _costed(raw)
-    verdict = _Verdict(curated_report(curated, raw, by=DAY_PARTITION, limits=limits))
-    verdict.raise_if_failed(f"curated {verdict.failed}")
-    if verdict.rows:
-        write_partitions(curated, lake.path(CURATED_SALES), DAY_PARTITION, ["dealer_name"])
-    return verdict.rows.get(day, 0)
+        return dict.fromkeys(days, 0), [], None
+    with _staged(_enriched(raw)) as curated:
+        verdict = _Verdict(curated_report(curated, raw, by=DAY_PARTITION, limits=limits))
+        passed = verdict.passed()
+        if passed:
+            good = curated.where(F.col(DAY_PARTITION) <= F.lit(passed[-1]))
+            write_partitions(good, lake.path(CURATED_SALES), DAY_PARTITION, ["dealer_name"])
+    return {day: verdict.rows.get(day, 0) for day in days}, passed, verdict
 
 
 def build_months(
     spark: SparkSession, months: Iterable[dt.date], lake: Lake
 ) -> dict[dt.date, int]:
     """Expenses and targets of whole months, from all their curated days."""
-    curated = read_months(spark, lake.path(CURATED_SALES), months)
+    curated = read_months(spark, lake.path(CURATED_SALES), months, CURATED_TYPES)
     if curated is None:
         return {}
     # one small row per dealer and month, read by the gate and by both writers

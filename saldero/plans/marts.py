@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,14 +50,17 @@ def typed_targets(targets: DataFrame) -> DataFrame:
     return _typed_monthly(targets, ("objetivo_ventas",))
 
 
-def dim_dealer(ventas: DataFrame) -> DataFrame:
-    """One region per dealer; the smallest, so that every run answers the same."""
-    return ventas.groupBy("dealer_name").agg(F.min("dealer_region").alias("region"))
+def dim_dealer(sold: DataFrame, region: str = "dealer_region") -> DataFrame:
+    """One region per dealer; the smallest, so that every run answers the same.
+
+    ``sold`` has sales, or days of sales with the smallest region of each.
+    """
+    return sold.groupBy("dealer_name").agg(F.min(region).alias("region"))
 
 
-def dim_date(ventas: DataFrame) -> DataFrame:
+def dim_date(sold: DataFrame) -> DataFrame:
     """Every day between the first and the last sale."""
-    bounds = ventas.agg(F.min("fecha").alias("first"), F.max("fecha").alias("last"))
+    bounds = sold.agg(F.min("fecha").alias("first"), F.max("fecha").alias("last"))
     days = bounds.select(F.explode(F.sequence("first", "last")).alias("fecha"))
     day = F.col("fecha")
     return days.select(
@@ -93,14 +97,22 @@ def _amount_sums() -> list:
 
 def kpi_daily(ventas: DataFrame) -> DataFrame:
     """Daily fact. ``mes`` follows from ``fecha``, so it does not change the grain;
-    as a grouping key it lets a month filter reach the partitions of the sales."""
-    return ventas.groupBy("fecha", "mes", "dealer_name").agg(*_amount_sums())
+    as a grouping key it lets a month filter reach the partitions of the sales.
+    With the smallest region of the day, all other marts follow from it."""
+    smallest = F.min("dealer_region").alias("region")
+    return ventas.groupBy("fecha", "mes", "dealer_name").agg(*_amount_sums(), smallest)
 
 
 def sales_by_month(ventas: DataFrame) -> DataFrame:
     return ventas.groupBy(*MONTH_KEY).agg(*_amount_sums())
 
 
+def days_by_month(daily: DataFrame) -> DataFrame:
+    """The sums of ``sales_by_month`` from those of the daily fact; they are exact."""
+    names = ("num_ventas", "ventas", "costo", "utilidad_bruta")
+    return daily.groupBy(*MONTH_KEY).agg(*[F.sum(n).alias(n) for n in names])
+
+
 def _with_results(base: DataFrame) -> DataFrame:
     """Results and ratios of a month row that carries its expenses and target."""
     opex = F.col(OPEX_COLUMNS[0])
@@ -132,18 +144,25 @@ def kpi_monthly(ventas: DataFrame, gastos: DataFrame, objetivos: DataFrame) -> D
     Sales are aggregated before they meet the tables that have one row per
     dealer and month, so no join sees the sale grain.
     """
-    base = sales_by_month(ventas).join(gastos, [*MONTH_KEY], "left")
+    return _joined_results(sales_by_month(ventas), gastos, objetivos)
+
+
+def _joined_results(sums: DataFrame, gastos: DataFrame, objetivos: DataFrame) -> DataFrame:
+    base = sums.join(gastos, [*MONTH_KEY], "left")
     return _with_results(base.join(objetivos, [*MONTH_KEY], "left"))
 
 
 def kpi_monthly_from_sales(ventas: DataFrame) -> DataFrame:
-    """Monthly fact straight from typed sales: one shuffle and no join.
+    """Monthly fact straight from typed sales: one shuffle and no join."""
+    return _derived_results(sales_by_month(ventas))
 
-    Expenses and targets are functions of the month's own sums, so they are
-    computed beside them instead of being stored and joined back. Rows without
-    a dealer or month get none, as in the stored tables.
+
+def _derived_results(sums: DataFrame) -> DataFrame:
+    """Results of a month with the expenses and targets that follow from its sums.
+
+    They are computed beside the sums instead of being stored and joined back.
+    Rows without a dealer or month get none, as in the stored tables.
     """
-    sums = sales_by_month(ventas)
     zero = F.lit(0)
     basis = sums.select(
         *MONTH_KEY,
@@ -169,7 +188,8 @@ def kpi_monthly_from_sales(ventas: DataFrame) -> DataFrame:
 class Marts:
     """The star schema: two facts and three dimensions.
 
-    ``kpi_diario`` carries ``mes`` beside its public columns.
+    ``kpi_diario`` carries ``mes`` and ``region`` beside its public columns.
+    ``results`` makes the monthly fact from the sums of each dealer and month.
     """
 
     kpi_mensual: DataFrame
@@ -177,31 +197,44 @@ class Marts:
     dim_concesionaria: DataFrame
     dim_fecha: DataFrame
     dim_mes: DataFrame
+    results: Callable[[DataFrame], DataFrame]
 
     @classmethod
-    def of(cls, ventas: DataFrame, kpi_mensual: DataFrame) -> Marts:
+    def of(cls, ventas: DataFrame, results: Callable[[DataFrame], DataFrame]) -> Marts:
         calendar = dim_date(ventas)
         return cls(
-            kpi_mensual=kpi_mensual,
+            kpi_mensual=results(sales_by_month(ventas)),
             kpi_diario=kpi_daily(ventas),
             dim_concesionaria=dim_dealer(ventas),
             dim_fecha=calendar,
             dim_mes=dim_month(calendar),
+            results=results,
         )
 
     @classmethod
     def from_tables(cls, ventas: DataFrame, gastos: DataFrame, objetivos: DataFrame) -> Marts:
-        return cls.of(ventas, kpi_monthly(ventas, gastos, objetivos))
+        return cls.of(ventas, lambda sums: _joined_results(sums, gastos, objetivos))
 
     @classmethod
     def from_curated(cls, curated: DataFrame) -> Marts:
-        ventas = typed_sales(curated)
-        return cls.of(ventas, kpi_monthly_from_sales(ventas))
+        return cls.of(typed_sales(curated), _derived_results)
+
+    def over(self, daily: DataFrame) -> Marts:
+        """The same marts from a stored daily fact, without reading the sales again."""
+        calendar = dim_date(daily)
+        return replace(
+            self,
+            kpi_mensual=self.results(days_by_month(daily)),
+            kpi_diario=daily,
+            dim_concesionaria=dim_dealer(daily, "region"),
+            dim_fecha=calendar,
+            dim_mes=dim_month(calendar),
+        )
 
     def views(self) -> dict[str, DataFrame]:
         return {
             "dim_concesionaria": self.dim_concesionaria,
             "dim_fecha": self.dim_fecha,
-            "kpi_diario": self.kpi_diario.drop("mes"),
+            "kpi_diario": self.kpi_diario.drop("mes", "region"),
             "kpi_mensual": self.kpi_mensual,
         }

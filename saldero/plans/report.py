@@ -29,6 +29,13 @@ class Selection:
         """The same slicers without the month one (a visual it does not reach)."""
         return replace(self, months=None)
 
+    def with_months_before(self) -> Selection:
+        """The months and the one before each, what a look back of a month can reach."""
+        if self.months is None:
+            return self
+        before = {(m.replace(day=1) - dt.timedelta(days=1)).replace(day=1) for m in self.months}
+        return replace(self, months=sorted({*self.months, *before}))
+
     def _dealers(self, fact: DataFrame, marts: Marts) -> DataFrame:
         if self.dealers is not None:
             fact = fact.where(F.col("dealer_name").isin(list(self.dealers)))
@@ -61,6 +68,11 @@ class Selection:
 EVERYTHING = Selection()
 
 
+def _by_sales(rows: DataFrame, *first: str) -> DataFrame:
+    """The order of tables that rank dealers."""
+    return rows.orderBy(*first, F.desc_nulls_last("ventas"), "dealer_name")
+
+
 def star_monthly(marts: Marts) -> DataFrame:
     """Monthly fact beside its dealer and month attributes."""
     return marts.kpi_mensual.join(marts.dim_concesionaria, "dealer_name", "left").join(
@@ -70,7 +82,7 @@ def star_monthly(marts: Marts) -> DataFrame:
 
 def star_daily(marts: Marts) -> DataFrame:
     """Daily fact beside its dealer, day and (through the day) month attributes."""
-    daily = marts.kpi_diario.drop("mes").join(marts.dim_concesionaria, "dealer_name", "left")
+    daily = marts.kpi_diario.drop("mes", "region").join(marts.dim_concesionaria, "dealer_name", "left")
     return daily.join(marts.dim_fecha, "fecha", "left")
 
 
@@ -85,7 +97,7 @@ def secondary_cards(marts: Marts, selection: Selection = EVERYTHING) -> DataFram
     The previous month replaces the month filter: it is the month before the
     latest one in context, whatever the selection covers.
     """
-    reach = selection.all_months().monthly(marts)
+    reach = selection.with_months_before().monthly(marts)
     before = month_before_latest(selection.model_months(marts))
     in_context = (
         F.lit(True) if selection.months is None else F.col("mes").isin(list(selection.months))
@@ -108,18 +120,19 @@ def secondary_cards(marts: Marts, selection: Selection = EVERYTHING) -> DataFram
 def sales_against_target(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     """Monthly trend; the month slicer does not reach it."""
     fact = selection.all_months().monthly(marts)
-    return evaluate(fact, ["mes"], ["ventas", "objetivo_ventas", "cumplimiento"])
+    names = ["ventas", "objetivo_ventas", "cumplimiento"]
+    return evaluate(fact, ["mes"], names).orderBy("mes")
 
 
 def margin_trend(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     """Monthly margins; the month slicer does not reach them."""
     fact = selection.all_months().monthly(marts)
-    return evaluate(fact, ["mes"], ["margen_bruto", "margen_ebitda"])
+    return evaluate(fact, ["mes"], ["margen_bruto", "margen_ebitda"]).orderBy("mes")
 
 
 def waterfall_report(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     totals = evaluate(selection.monthly(marts), [], list(INPUTS))
-    return waterfall_columns(waterfall(totals))
+    return waterfall_columns(waterfall(totals)).orderBy("orden")
 
 
 def dealer_ranking(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
@@ -127,13 +140,14 @@ def dealer_ranking(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame
     dealers = evaluate(selection.monthly(marts), ["dealer_name"], ["ventas"])
     ranked = with_leader(top_n(dealers), dealers)
     names = ["color_barra"]
-    return derive(ranked, names).select("dealer_name", "ventas", "ventas_max", "es_top", *names)
+    shown = derive(ranked, names).select("dealer_name", "ventas", "ventas_max", "es_top", *names)
+    return _by_sales(shown)
 
 
 def attainment_of_top(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     """Target attainment of the top dealers by sales, banded."""
     names = ["ventas", "cumplimiento", "color_cumplimiento"]
-    return top_n(evaluate(selection.monthly(marts), ["dealer_name"], names))
+    return _by_sales(top_n(evaluate(selection.monthly(marts), ["dealer_name"], names)))
 
 
 def dealer_matrix(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
@@ -142,12 +156,12 @@ def dealer_matrix(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
         "ventas", "utilidad_bruta", "ebitda", "margen_ebitda", "cumplimiento", "utilidad_neta",
         "color_cumplimiento", "color_fuente_cumplimiento", "color_ebitda", "color_fuente_ebitda",
     ]
-    fact = selection.monthly(marts)
-    dealers = evaluate(fact, ["dealer_name"], ["ventas"])
-    rows = with_leader(with_grand_total(fact, ["dealer_name"], names), dealers)
-    return derive(rows, ["fondo_top"]).select(
+    table = with_grand_total(selection.monthly(marts), ["dealer_name"], names)
+    rows = with_leader(table, table.where(~F.col("is_total")))
+    shown = derive(rows, ["fondo_top"]).select(
         "dealer_name", "is_total", *names, "es_top", "fondo_top"
     )
+    return _by_sales(shown, "is_total")
 
 
 def operations_cards(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
@@ -161,11 +175,10 @@ def daily_trend(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     The month slicer applies after the mean, so the first days of a month
     still see the end of the month before.
     """
-    fact = selection.all_months().daily(marts)
+    fact = selection.with_months_before().daily(marts)
     trend = selection.days(moving_mean_7d(fact, marts.dim_fecha))
-    return trend.where(F.col("ventas_media_7d").isNotNull()).withColumnRenamed(
-        "ventas", "ventas_dia"
-    )
+    shown = trend.where(F.col("ventas_media_7d").isNotNull())
+    return shown.withColumnRenamed("ventas", "ventas_dia").orderBy("fecha")
 
 
 def daily_detail(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
@@ -173,7 +186,8 @@ def daily_detail(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     names = [
         "num_ventas_dia", "ventas_dia", "costo_dia", "utilidad_bruta_dia", "margen_bruto_dia",
     ]
-    return with_grand_total(selection.daily(marts), ["fecha", "dealer_name"], names)
+    table = with_grand_total(selection.daily(marts), ["fecha", "dealer_name"], names)
+    return table.orderBy("is_total", "fecha", "dealer_name")
 
 
 def by_dealer_and_month(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
@@ -183,4 +197,5 @@ def by_dealer_and_month(marts: Marts, selection: Selection = EVERYTHING) -> Data
         "objetivo_ventas", "margen_bruto", "margen_ebitda", "margen_neto", "ticket_promedio",
         "cumplimiento", "brecha", "pp_vs_objetivo",
     ]
-    return evaluate(selection.monthly(marts), ["dealer_name", "mes"], names)
+    table = evaluate(selection.monthly(marts), ["dealer_name", "mes"], names)
+    return table.orderBy("dealer_name", "mes")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..sources.errors import LakeNotReady
 from ..sources.lake import (
@@ -16,10 +16,14 @@ from ..sources.lake import (
     DAY_PARTITION,
     MONTH_PARTITION,
     Lake,
+    layer_schema,
     read_layer,
+    read_months,
+    replace_folder,
     write_partitions,
 )
-from .marts import Marts, typed_expenses, typed_sales, typed_targets
+from .jobs import CURATED_TYPES
+from .marts import Marts, dim_month, typed_expenses, typed_sales, typed_targets
 
 REQUIRED_LAYERS = (CURATED_SALES, CURATED_EXPENSES, CURATED_TARGETS)
 
@@ -34,10 +38,13 @@ _PARTITION = "mes"
 
 def staging_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """The three curated layers as frames; an empty one stops the refresh."""
-    layers = {layer: read_layer(spark, lake.path(layer)) for layer in REQUIRED_LAYERS}
-    missing = [layer for layer, frame in layers.items() if frame is None]
+    layers = {layer: read_layer(spark, lake.path(layer)) for layer in REQUIRED_LAYERS[1:]}
+    layers[CURATED_SALES] = read_layer(
+        spark, lake.path(CURATED_SALES), schema=layer_schema(CURATED_TYPES, DAY_PARTITION)
+    )
+    missing = [layer for layer in REQUIRED_LAYERS if layers[layer] is None]
     if missing:
-        raise LakeNotReady(f"no curated data in {missing}: curate before refreshing")
+        raise LakeNotReady(f"these curated layers have no files yet: {missing}")
     return {name: layers[layer] for name, (layer, _, _) in _TABLES.items()}
 
 
@@ -66,16 +73,20 @@ def refresh_tables(spark: SparkSession, lake: Lake) -> list[str]:
 
 def refresh_months(spark: SparkSession, lake: Lake, months: Iterable[dt.date]) -> list[str]:
     """Replace only the given months of the typed tables."""
-    staging = staging_tables(spark, lake)
     wanted = sorted(set(months))
+    if not wanted:
+        return []
+    # only the directories of these months are listed
+    labels = ",".join(f"{m:%Y-%m}" for m in wanted)
+    sources = {
+        CURATED_SALES: read_months(spark, lake.path(CURATED_SALES), wanted, CURATED_TYPES)
+    }
+    for layer in REQUIRED_LAYERS[1:]:
+        path = lake.path(layer)
+        sources[layer] = read_layer(spark, f"{path}/{MONTH_PARTITION}={{{labels}}}", base=path)
     for name, (layer, project, order) in _TABLES.items():
-        source = staging[name]
-        # on the partition column, so that other months are not even listed as input
-        if layer == CURATED_SALES:
-            touched = F.trunc(F.col(DAY_PARTITION), "MM").isin(wanted)
-        else:
-            touched = F.col(MONTH_PARTITION).isin([f"{m:%Y-%m}" for m in wanted])
-        write_partitions(project(source.where(touched)), lake.typed(name), _PARTITION, order)
+        if sources[layer] is not None:
+            write_partitions(project(sources[layer]), lake.typed(name), _PARTITION, order)
     return list(_TABLES)
 
 
@@ -109,26 +120,32 @@ def refresh_warehouse(spark: SparkSession, lake: Lake) -> list[str]:
 
 
 def import_marts(spark: SparkSession, lake: Lake, marts: Marts) -> Marts:
-    """Store the mart views and return them read back.
+    """Store the marts and return them read back.
+
+    The sales are read once, for the daily fact; the rest follows from it.
 
     Reports then start from facts at dealer-month and dealer-day grain instead
     of aggregating the sales again for each question, and a month filter reads
     only its own directories.
     """
-    frames = {**marts.views(), "kpi_diario": marts.kpi_diario}
-    stored = {}
-    for name, frame in frames.items():
+
+
+    def stored(name: str, frame: DataFrame) -> DataFrame:
         path = lake.mart(name)
-        if name in ("kpi_diario", "kpi_mensual"):
+        if _PARTITION in frame.columns and name.startswith("kpi_"):
             write_partitions(frame, path, _PARTITION, ("dealer_name",), replace_all=True)
         else:
-            frame.write.mode("overwrite").parquet(path)
-        stored[name] = read_layer(spark, path)
-    calendar = stored["dim_fecha"]
-    return Marts(
-        kpi_mensual=stored["kpi_mensual"],
-        kpi_diario=stored["kpi_diario"],
-        dim_concesionaria=stored["dim_concesionaria"],
+            replace_folder(frame, path)
+        # an empty fact leaves no files behind
+        found = read_layer(spark, path, schema=frame.schema)
+        return frame if found is None else found
+
+    derived = marts.over(stored("kpi_diario", marts.kpi_diario))
+    calendar = stored("dim_fecha", derived.dim_fecha)
+    return replace(
+        derived,
+        kpi_mensual=stored("kpi_mensual", derived.kpi_mensual),
+        dim_concesionaria=stored("dim_concesionaria", derived.dim_concesionaria),
         dim_fecha=calendar,
-        dim_mes=calendar.select("mes").distinct(),
+        dim_mes=dim_month(calendar),
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -38,7 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder all executors share")
     own = tempfile.mkdtemp(prefix="saldero-")
     spark.sparkContext.setCheckpointDir(own)
@@ -51,6 +54,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies; a missing one is fine."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A fresh path below the shared folder for the time of one job."""
+    path = scratch_path(spark, purpose)
+    try:
+        yield path
+    finally:
+        remove_path(spark, path)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"

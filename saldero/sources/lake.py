@@ -9,16 +9,20 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..session import remove_path
 from .errors import is_absent
 
 # Layer directories and partition columns.
+LANDED_SALES = "landed/ventas"
 RAW_SALES = "raw/ventas"
 CURATED_SALES = "curated/ventas"
 CURATED_EXPENSES = "curated/gastos_mensuales"
@@ -37,6 +41,8 @@ _WRITE_SETTINGS = {
     # merging small buckets saves no file and only costs parallel file opens.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
 }
+# Fixed value: the directory name of a missing partition value.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
@@ -72,6 +78,27 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def _list(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, none when it is missing."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not file_system.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+
+
+def replace_folder(df: DataFrame, path: str) -> None:
+    """Write an unpartitioned table beside the old one, then put it in its place."""
+    spark, fresh = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(fresh)
+        remove_path(spark, path)
+        new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+        new.getFileSystem(spark._jsc.hadoopConfiguration()).rename(new, old)
+    finally:
+        remove_path(spark, fresh)
+
+
 def write_partitions(
     df: DataFrame,
     path: str,
@@ -85,24 +112,51 @@ def write_partitions(
     The rebalance hint groups rows by partition value so that a small day ends
     in one file, and lets adaptive execution split a value that holds a large
     share of the rows over many tasks and files. Only the partitions present
-    in ``df`` are replaced, unless ``replace_all`` asks for the whole table.
+    in ``df`` are replaced, unless ``replace_all`` asks for the whole table: the
+    partitions that ``df`` lacks are then removed once all others are in place,
+    so a write that fails leaves the old table whole.
     """
+    spark = df.sparkSession
+    before = set(_list(spark, path)) if replace_all else set()
     arranged = df.hint("rebalance", partition).sortWithinPartitions(partition, *sort_by)
-    mode = "static" if replace_all else "dynamic"
-    with _settings(df.sparkSession, _WRITE_SETTINGS):
+    written = Observation()
+    values = F.collect_set(F.coalesce(F.col(partition).cast("string"), F.lit(_NULL_PARTITION)))
+    # one short value per partition, which the writer lists as well
+    observed = arranged.observe(written, values.alias("values")) if replace_all else arranged
+    with _settings(spark, _WRITE_SETTINGS):
         (
-            arranged.write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
+            observed.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition)
             .parquet(path)
         )
+    if replace_all:
+        kept = {f"{partition}={value}" for value in written.get["values"]}
+        for name in before - kept:
+            if name.startswith(f"{partition}="):
+                remove_path(spark, f"{path}/{name}")
+
+
+def layer_schema(columns: dict[str, str], partition: str) -> str:
+    """The declared schema of a layer of sales; the partition is a day."""
+    return ", ".join(f"{name} {kind}" for name, kind in {**columns, partition: "date"}.items())
 
 
 def read_layer(
-    spark: SparkSession, path: str, *, merge_schema: bool = False, base: str | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    schema: str | StructType | None = None,
+    base: str | None = None,
 ) -> DataFrame | None:
-    """A Parquet layer, or None when it holds no files yet."""
-    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    """A Parquet layer, or None when it holds no files yet.
+
+    With a declared ``schema`` no footer is opened before the scan, and a column
+    that a file lacks reads as null.
+    """
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
     if base is not None:
         reader = reader.option("basePath", base)
     # listing takes place in this call: one task per core, not one per directory
@@ -116,25 +170,37 @@ def read_layer(
         raise
 
 
-def read_days(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> DataFrame | None:
+def read_days(
+    spark: SparkSession,
+    path: str,
+    start: dt.date,
+    end: dt.date,
+    columns: dict[str, str],
+    base: str | None = None,
+) -> DataFrame | None:
     """Day partitions of an inclusive range, None when there are none.
 
-    Only the directories of the touched months are listed. Days may differ in
-    their extra columns, hence the merged schema over exactly those months.
+    Only the directories of the touched months are listed.
     """
     day = F.col(DAY_PARTITION)
     months = _months_between(start, end)
-    layer = read_months(spark, path, months)
+    layer = read_months(spark, path, months, columns, base)
     return None if layer is None else layer.where(day.between(F.lit(start), F.lit(end)))
 
 
-def read_months(spark: SparkSession, path: str, months: Iterable[dt.date]) -> DataFrame | None:
+def read_months(
+    spark: SparkSession,
+    path: str,
+    months: Iterable[dt.date],
+    columns: dict[str, str],
+    base: str | None = None,
+) -> DataFrame | None:
     """All day partitions of the given months, None when there are none."""
     prefixes = ",".join(f"{m:%Y-%m}-*" for m in sorted(months))
     if not prefixes:
         return None
     pattern = f"{path}/{DAY_PARTITION}={{{prefixes}}}"
-    return read_layer(spark, pattern, merge_schema=True, base=path)
+    return read_layer(spark, pattern, schema=layer_schema(columns, DAY_PARTITION), base=base or path)
 
 
 def _months_between(start: dt.date, end: dt.date) -> list[dt.date]:

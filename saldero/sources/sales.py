@@ -21,8 +21,16 @@ from .errors import SourceError, SourceNotFound, is_absent
 # The column contracts of a sales source.
 PII_COLUMNS = ("customer_name", "phone", "gender", "annual_income")
 REQUIRED_COLUMNS = ("date", "dealer_name", "company", "model", "price")
-# What the typed tables need on top of the source contract.
-WAREHOUSE_COLUMNS = ("car_id", "dealer_region")
+# What the layers of the lake hold of every sale; a load may lack the last two.
+SALE_TYPES = {
+    "date": "date",
+    "dealer_name": "string",
+    "company": "string",
+    "model": "string",
+    "price": "double",
+    "car_id": "string",
+    "dealer_region": "string",
+}
 
 # Tried in this order; one format must fit every non-blank date of a load. The
 # shape keeps the costly failing parse away from texts that cannot fit.
@@ -35,7 +43,13 @@ DATE_FORMATS = {
     "M/d/yyyy H:mm": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$",
     "M/d/yyyy H:mm:ss": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$",
     "yyyyMMdd": r"^\d{8}$",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
+    "M/d/yy": r"^\d{1,2}/\d{1,2}/\d{2}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Z][a-z]{2} \d{4}$",
+    "MMM d, yyyy": r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$",
 }
+# A cast alone would also read Java's type suffixes, as in 12000d.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 @dataclass(frozen=True)
@@ -63,16 +77,21 @@ def choose_csv(spark: SparkSession, root: str, filename: str = "") -> str:
             raise
         raise SourceNotFound(f"no such source directory: {root}") from error
 
-    wanted = files.where(F.col("name") == filename) if filename else files
-    chosen = wanted.orderBy("path").limit(2).collect()
-    if len(chosen) == 1:
-        return chosen[0]["path"]
-
-    shown = [r["name"] for r in files.orderBy("name").limit(20).collect()]
-    if not chosen:
-        named = f" named {filename!r}" if filename else ""
-        raise SourceNotFound(f"no CSV{named} below {root}; files found: {shown}")
-    raise SourceError(f"several CSV files below {root}: {shown}; pass the one to read")
+    fits = F.col("name") == filename if filename else F.lit(True)
+    # the names of a source folder, which its listing has brought to the driver anyway
+    seen = files.agg(
+        F.count_if(fits).alias("fitting"),
+        F.min(F.when(fits, F.col("path"))).alias("path"),
+        F.array_join(F.array_sort(F.collect_list("name")), ", ").alias("names"),
+    ).first()
+    if seen["fitting"] == 1:
+        return seen["path"]
+    wanted = f"{filename!r}" if filename else "one CSV file"
+    error = SourceError if seen["fitting"] else SourceNotFound
+    raise error(
+        f"expected {wanted} below {root}, {seen['fitting']} fit; the folder holds: "
+        f"{seen['names'] or 'nothing'}"
+    )
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:
@@ -114,9 +133,17 @@ def read_csv_text(spark: SparkSession, path: str, *, multiline: bool = False) ->
 
 def _parsed(date_format: str) -> Column:
     parsed = F.to_date(F.try_to_timestamp(F.col("date"), F.lit(date_format)))
+    if "yy" in date_format and "yyyy" not in date_format:
+        # two digits from 69 on belong to the last century
+        parsed = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed)
     return F.when(F.col("date").rlike(DATE_FORMATS[date_format]), parsed)
 
 
+def _price() -> Column:
+    """The price as a number, null where the text is none."""
+    return F.when(F.col("price").rlike(NUMBER), F.col("price").try_cast("double"))
+
+
 def profile_source(text: DataFrame) -> SourceProfile:
     """One pass over the date, price and id columns of an all-text frame."""
     has_id = "car_id" in text.columns
@@ -125,9 +152,7 @@ def profile_source(text: DataFrame) -> SourceProfile:
         for i, f in enumerate(DATE_FORMATS)
     ]
     tests.append(
-        F.count_if(F.col("price").isNotNull() & F.col("price").try_cast("double").isNull()).alias(
-            "bad_price"
-        )
+        F.count_if(F.col("price").isNotNull() & _price().isNull()).alias("bad_price")
     )
     if has_id:
         car_id = F.col("car_id")
@@ -156,7 +181,8 @@ def type_columns(text: DataFrame, profile: SourceProfile) -> DataFrame:
         )
     }
     if profile.numeric_price:
-        typed["price"] = nan_to_null(F.col("price").cast("double"))
+        unread = F.raise_error(F.concat(F.lit("unreadable price: "), F.col("price")))
+        typed["price"] = F.when(F.col("price").isNotNull(), F.coalesce(_price(), unread))
     if profile.integer_ids:
         typed["car_id"] = F.col("car_id").cast("bigint").cast("string")
     return text.withColumns(typed)

@@ -1,9 +1,11 @@
 """Incremental runs driven by files that arrive in a landing folder.
 
-Each run processes the files that came since the last one and ends. A new
-file only tells which sale days changed: those days are rebuilt from all
-landed files with the batch jobs, so a day whose sales arrive in several
-files stays whole, and a repeated micro-batch changes nothing.
+Each run processes the files that came since the last one and ends. Their rows
+go to a landed layer with one directory per batch and sale day; the days they
+touch are then rebuilt from that layer with the batch jobs, so a day whose sales
+arrive in several files stays whole, and a repeated micro-batch changes
+nothing. Every file is read by its own header. A day that breaks its rules does
+not keep the others of its batch from being loaded.
 """
 
 from __future__ import annotations
@@ -12,12 +14,25 @@ import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from ..operators.quality import Limits
+from ..functions.dates import day_range
+from ..operators.quality import Limits, RulesBroken
 from ..plans.jobs import backfill, curate_range
-from ..sources.lake import Lake
-from ..sources.sales import SourceProfile, load_source, text_columns, type_columns
+from ..sources.errors import SourceError
+from ..sources.lake import (
+    DAY_PARTITION,
+    LANDED_SALES,
+    Lake,
+    layer_schema,
+    read_days,
+    read_layer,
+    write_partitions,
+)
+from ..sources.sales import SALE_TYPES, SourceProfile, load_source
+
+# New files that one micro-batch takes.
+MAX_FILES = 1000
 
 
 def contiguous(days: Iterable[dt.date]) -> list[tuple[dt.date, dt.date]]:
@@ -31,6 +46,36 @@ def contiguous(days: Iterable[dt.date]) -> list[tuple[dt.date, dt.date]]:
     return runs
 
 
+def _arrived(spark: SparkSession, path: str, profile: SourceProfile) -> DataFrame:
+    """One new file by its own header, whatever the order of its columns."""
+    try:
+        sales = load_source(spark, path, profile)
+    except SourceError as error:
+        raise SourceError(f"{path}: {error}") from error
+    return sales.select(*[F.col(c) for c in SALE_TYPES if c in sales.columns])
+
+
+def _keep(batch: DataFrame, number: int, landed: str, profile: SourceProfile) -> list[dt.date]:
+    """Store the rows of a batch by sale day; the days. A repeated batch replaces itself."""
+    spark = batch.sparkSession
+    # at most MAX_FILES names
+    paths = [r["path"] for r in batch.select(F.col("_file").alias("path")).distinct().collect()]
+    parts = [_arrived(spark, path, profile) for path in sorted(paths)]
+    if not parts:
+        return []
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    dated = rows.where(F.col("date").isNotNull()).withColumn(DAY_PARTITION, F.col("date"))
+    folder = f"{landed}/batch={number}"
+    write_partitions(dated, folder, DAY_PARTITION, replace_all=True)
+    stored = read_layer(spark, folder, schema=layer_schema(SALE_TYPES, DAY_PARTITION))
+    if stored is None:
+        return []
+    # one value per sale day of the new files
+    return sorted(r[0] for r in stored.select(DAY_PARTITION).distinct().collect())
+
+
 def drain_landing(
     spark: SparkSession,
     landing: str,
@@ -39,24 +84,37 @@ def drain_landing(
     profile: SourceProfile,
     limits: Limits = Limits(),
 ) -> None:
-    """Load and curate every sale day touched by files not seen before."""
-    header = spark.read.option("header", "true").csv(landing).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    """Load and curate every sale day touched by files not seen before.
+
+    Raises the first broken rules once all days of the batch have been tried.
+    """
+    landed = lake.path(LANDED_SALES)
+    # only the file names of the stream are used; the columns are read per file
     arrivals = (
-        spark.readStream.schema(schema)
-        .option("header", "true")
-        .option("escape", '"')
-        .csv(landing)
+        spark.readStream.schema("line string")
+        .option("maxFilesPerTrigger", MAX_FILES)
+        .option("pathGlobFilter", "*.csv")
+        .format("text")
+        .load(landing)
+        .select(F.col("_metadata.file_path").alias("_file"))
     )
 
-    def rebuild(batch: DataFrame, _: int) -> None:
-        touched = type_columns(text_columns(batch), profile).select("date").distinct()
-        # one value per sale day of the new files
-        days = [row["date"] for row in touched.collect() if row["date"] is not None]
-        sales = load_source(spark, landing, profile)
+    def rebuild(batch: DataFrame, number: int) -> None:
+        days, broken = _keep(batch, number, landed, profile), []
         for start, end in contiguous(days):
-            backfill(sales, start, end, lake, limits, stage=True)
-            curate_range(spark, start, end, lake, limits)
+            found = read_days(spark, f"{landed}/batch=*", start, end, SALE_TYPES, base=landed)
+            sales = found.select(*SALE_TYPES)
+            while start <= end:
+                try:
+                    backfill(sales, start, end, lake, limits)
+                    last = end
+                except RulesBroken as error:
+                    broken.append(error)
+                    last = next(d for d in day_range(start, end) if error.scope.endswith(f"{d}"))
+                curate_range(spark, start, last, lake, limits)
+                start = last + dt.timedelta(days=1)
+        if broken:
+            raise broken[0]
 
     query = (
         arrivals.writeStream.option("checkpointLocation", checkpoint)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from saldero.sources.lake import (
     read_layer,
     write_partitions,
 )
-from saldero.sources.sales import load_source
+from saldero.sources.sales import DATE_FORMATS, load_source
 
 from . import tables as t
 
@@ -109,6 +110,15 @@ def _typed(spark, sf):
     return t.ventas(spark, sf)
 
 
+@_query("P2_wide_prices")
+def _wide_prices(spark, sf):
+    """Prices beyond nine integer digits and below a cent, typed and summed."""
+    typed = marts.typed_sales(add_costs(t.wide_sales(spark, sf)))
+    return typed.groupBy("dealer_name").agg(
+        F.count("precio").alias("n"), F.sum("precio").alias("precio")
+    )
+
+
 @_query("A1_kpi_daily")
 def _kpi_daily(spark, sf):
     return t.marts(spark, sf).views()["kpi_diario"]
@@ -250,6 +260,43 @@ def _csv(spark, sf):
     return load_source(spark, path)
 
 
+@_query("S3_date_formats")
+def _date_formats(spark, sf):
+    """The orders as one CSV per date format, loaded and counted by day."""
+    orders, loaded = t.source_sales(spark, sf), []
+    for number, date_format in enumerate(DATE_FORMATS):
+        path = f"{scratch_path(spark, 'dates')}/source"
+        text = F.date_format("Date", date_format).alias("Date")
+        orders.withColumn("Date", text).write.option("header", "true").csv(path)
+        loaded.append(load_source(spark, path).select(F.lit(number).alias("format"), "date"))
+    return reduce(DataFrame.union, loaded).groupBy("format", "date").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@_query("Q7_price_type")
+def _price_type(spark, sf):
+    """Prices with a letter behind the digits are text, and the type rule says so."""
+    path, priced = f"{scratch_path(spark, 'prices')}/source", t.source_sales(spark, sf)
+    odd = F.when(F.col("Car_id") % 97 == 0, F.concat(F.col("Price ($)").cast("string"), F.lit("d")))
+    text = F.coalesce(odd, F.col("Price ($)").cast("string"))
+    priced.withColumn("Price ($)", text).write.option("header", "true").csv(path)
+    found = quality.issues_of(quality.raw_report(load_source(spark, path)))
+    return found.where(F.col("check") == quality.TYPE).select("date", "check", "n")
+
+
+@_query("S14_schema_drift")
+def _schema_drift(spark, sf):
+    """Typed sales of a lake whose later days came first and whose first days lack the region."""
+    rows, lake = t.sales(spark, sf), _lake(spark, "drift")
+    first, last = _bounds(rows)
+    jobs.backfill(rows, t.DRIFT, last, lake)
+    jobs.backfill(rows.drop("dealer_region"), first, t.DRIFT - dt.timedelta(days=1), lake)
+    jobs.curate_range(spark, first, last, lake)
+    warehouse.refresh_tables(spark, lake)
+    return warehouse.open_tables(spark, lake)["ventas"]
+
+
 @_query("S8_backfill_counts")
 def _backfill(spark, sf):
     rows, lake = t.sales(spark, sf), _lake(spark, "backfill")
@@ -335,7 +382,7 @@ def _partial(spark, sf):
     first, last = _bounds(rows)
     try:
         jobs.backfill(rows, first, last, lake)
-    except quality.ValidationError:
+    except quality.RulesBroken:
         pass
     raw = read_layer(spark, lake.path(RAW_SALES))
     return raw.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
@@ -485,6 +532,19 @@ _report("R10_daily_trend_sliced", report.daily_trend, t.DEALER_SLICE)
 _report("R11_daily_detail", report.daily_detail, t.SLICE)
 
 
+def _stored_report(name: str, build: Callable, selection) -> None:
+    def run(spark, sf):
+        lake = _lake(spark, name)
+        return build(warehouse.import_marts(spark, lake, t.marts(spark, sf)), selection)
+
+    _query(name)(run)
+
+
+_stored_report("R2_stored_sliced", report.secondary_cards, t.DEALER_SLICE)
+_stored_report("R8_stored_sliced", report.dealer_matrix, t.DEALER_SLICE)
+_stored_report("R10_stored_sliced", report.daily_trend, t.DEALER_SLICE)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly KPIs per dealer."""
     return _QUERIES["A2_kpi_monthly"](spark, sf_dir)

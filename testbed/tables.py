@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldero.operators.enrich import add_costs, monthly_base, monthly_expenses, monthly_targets
@@ -73,7 +73,7 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
     return Marts.from_curated(curated(spark, sf_dir))
 
 
-def line_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_sales(spark: SparkSession, sf_dir: str, price: Column | None = None) -> DataFrame:
     """Line items as sales: the supplier sells, the part names the model."""
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     supplier, places = table(spark, sf_dir, "supplier"), _places(spark, sf_dir)
@@ -88,11 +88,17 @@ def line_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("r_name").alias("dealer_region"),
             F.col("p_brand").alias("company"),
             F.col("p_type").alias("model"),
-            F.col("l_extendedprice").alias("price"),
+            (F.col("l_extendedprice") if price is None else price).alias("price"),
         )
     )
 
 
+def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items at prices far over a billion, with eighths."""
+    whole = F.floor(F.col("l_extendedprice") * 100) * F.lit(1000.0)
+    return line_sales(spark, sf_dir, whole + F.col("l_quantity") / 8)
+
+
 def line_marts(spark: SparkSession, sf_dir: str) -> Marts:
     return Marts.from_curated(add_costs(line_sales(spark, sf_dir)))
 
@@ -196,3 +202,5 @@ DEALER_SLICE = Selection(
     months=(dt.date(1998, 3, 1), dt.date(1998, 5, 1)),
     dealers=tuple(f"NATION_{n}" for n in (1, 3, 7, 12, 18)),
 )
+# The first day whose sales carry a region.
+DRIFT = dt.date(1998, 6, 13)

@@ -5,7 +5,7 @@ from conftest import gap_csv_lines, write_lines
 from pyspark.sql import functions as F
 
 from saldero.operators.enrich import add_costs
-from saldero.operators.quality import ValidationError
+from saldero.operators.quality import RulesBroken
 from saldero.plans import jobs, warehouse
 from saldero.sources.errors import LakeNotReady
 from saldero.sources.lake import (
@@ -13,8 +13,8 @@ from saldero.sources.lake import (
     CURATED_SALES,
     CURATED_TARGETS,
     RAW_SALES,
-    read_days,
     read_layer,
+    write_partitions,
 )
 from saldero.sources.sales import load_source
 
@@ -119,7 +119,7 @@ def test_replayed_day(spark, shared_sales, lake):
 def test_bad_day_stops_the_days_after_it(spark, shared_sales, lake):
     price = F.when(F.col("car_id") == "C013", F.lit(-1.0)).otherwise(F.col("price"))
     bad = shared_sales.withColumn("price", price)
-    with pytest.raises(ValidationError, match="raw 2022-02-01: .*price <= 0"):
+    with pytest.raises(RulesBroken, match="raw 2022-02-01: .*price <= 0"):
         jobs.backfill(bad, FIRST, LAST, lake)
     written = {str(r.date) for r in read_layer(spark, lake.path(RAW_SALES)).collect()}
     assert written == {"2022-01-30", "2022-01-31"}
@@ -127,25 +127,74 @@ def test_bad_day_stops_the_days_after_it(spark, shared_sales, lake):
 
 def test_bad_first_day_writes_nothing(spark, shared_sales, lake):
     bad = shared_sales.withColumn("price", F.lit(-1.0))
-    with pytest.raises(ValidationError):
+    with pytest.raises(RulesBroken):
         jobs.backfill(bad, FIRST, LAST, lake)
     assert read_layer(spark, lake.path(RAW_SALES)) is None
 
 
 def test_bad_curated_day_leaves_months_alone(spark, shared_sales, lake):
     jobs.backfill(shared_sales, FIRST, LAST, lake)
-    with pytest.raises(ValidationError, match="curated 2022-01-30"):
+    with pytest.raises(RulesBroken, match="curated 2022-01-30"):
         jobs.curate_range(spark, FIRST, LAST, lake, jobs.Limits(margin=(0.9, 0.95)))
     assert read_layer(spark, lake.path(CURATED_SALES)) is None
     assert read_layer(spark, lake.path(CURATED_EXPENSES)) is None
 
 
-def test_days_may_differ_in_extra_columns(spark, shared_sales, lake):
-    jobs.ingest_day(shared_sales, FIRST, lake)
-    jobs.ingest_day(shared_sales.withColumn("colour", F.lit("red")), LAST, lake)
+@pytest.mark.parametrize("first_lacks", [True, False])
+def test_days_may_lack_the_region(spark, shared_sales, lake, first_lacks):
+    bare, full = shared_sales.drop("dealer_region"), shared_sales.withColumn("colour", F.lit("red"))
+    jobs.ingest_day(bare if first_lacks else full, FIRST, lake)
+    jobs.ingest_day(full if first_lacks else bare, LAST, lake)
+    jobs.curate_range(spark, FIRST, LAST, lake)
+    warehouse.refresh_tables(spark, lake)
+    found = warehouse.open_tables(spark, lake)["ventas"].groupBy("fecha").agg(F.count("dealer_region"))
+    lacking, whole = (FIRST, LAST) if first_lacks else (LAST, FIRST)
+    assert dict(found.collect()) == {lacking: 0, whole: 6}
+
+
+def test_a_lake_loaded_without_ids_is_refreshed(spark, shared_sales, lake):
+    jobs.backfill(shared_sales.drop("car_id"), FIRST, LAST, lake)
+    jobs.curate_range(spark, FIRST, LAST, lake)
+    warehouse.refresh_tables(spark, lake)
+    ids = warehouse.open_tables(spark, lake)["ventas"].where(F.col("fecha") == FIRST)
+    assert sorted(r["car_id"] for r in ids.collect()) == [str(n) for n in range(6)]
+
+
+def test_rows_without_a_date_are_counted(spark, shared_sales, lake):
+    undated = shared_sales.withColumn("date", F.when(F.col("car_id") != "C000", F.col("date")))
+    counts = jobs.backfill(undated, FIRST, LAST, lake)
+    assert (sum(counts.values()), counts.undated) == (23, 1)
+
+
+def test_a_lost_row_breaks_the_reconciliation(spark, shared_sales, lake, monkeypatch):
+    jobs.backfill(shared_sales, FIRST, LAST, lake)
+    whole = jobs.add_costs
+    monkeypatch.setattr(jobs, "add_costs", lambda raw: whole(raw).where("car_id <> 'C003'"))
+    with pytest.raises(RulesBroken, match="conciliacion"):
+        jobs.curate_range(spark, FIRST, LAST, lake)
+
+
+def test_jobs_leave_no_staged_rows(spark, shared_sales, lake):
+    import os
+
+    from saldero.session import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    jobs.backfill(shared_sales, FIRST, LAST, lake)
     jobs.curate_range(spark, FIRST, LAST, lake)
-    found = read_days(spark, lake.path(CURATED_SALES), FIRST, LAST)
-    assert found.where("colour = 'red'").count() == 6 and found.count() == 12
+    assert not [n for n in set(os.listdir(folder)) - before if n.startswith("stage")]
+
+
+def test_a_failed_rebuild_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_partitions(spark.range(6).selectExpr("id", "id % 3 AS mes"), path, "mes", replace_all=True)
+    broken = spark.range(6).selectExpr("if(id = 5, raise_error('lost'), id) AS id", "id % 2 AS mes")
+    with pytest.raises(Exception, match="lost"):
+        write_partitions(broken.selectExpr("cast(id AS long) AS id", "mes"), path, "mes", replace_all=True)
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(6))
+    write_partitions(spark.range(4).selectExpr("id", "id % 2 AS mes"), path, "mes", replace_all=True)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(0, 0), (1, 1), (2, 0), (3, 1)]
 
 
 def test_timestamps_are_stored_in_microseconds(spark, shared_sales, lake, tmp_path):
@@ -186,7 +235,7 @@ def test_refresh_builds_ten_objects_in_order(spark, shared_sales, lake):
     assert spark.sql("select sum(num_ventas) from kpi_diario").first()[0] == 24
     assert spark.sql("select count(*) from kpi_mensual where cumplimiento is not null").first()[0] == 4
     types = dict(warehouse.open_tables(spark, lake)["ventas"].dtypes)
-    assert types["precio"] == "decimal(18,9)" and types["costo"] == "decimal(18,2)"
+    assert types["precio"] == "decimal(28,9)" and types["costo"] == "decimal(18,2)"
     assert types["fecha"] == types["mes"] == "date"
 
 

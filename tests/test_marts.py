@@ -229,3 +229,32 @@ def test_two_month_cards_compare_with_one_month(curated):
     cards = report.secondary_cards(Marts.from_curated(curated)).first()
     assert float(cards.ventas_mes_anterior) == 213000.0
     assert cards.ventas_vs_mes_anterior == (498000.0 - 213000.0) / 213000.0
+
+
+def test_report_tables_come_in_their_order(curated):
+    model = marts.Marts.from_curated(curated)
+    matrix = report.dealer_matrix(model).collect()
+    sold = [r["ventas"] for r in matrix if not r["is_total"]]
+    assert matrix[-1]["is_total"] and sold == sorted(sold, reverse=True)
+    ranked = [r["ventas"] for r in report.dealer_ranking(model).collect()]
+    assert ranked == sorted(ranked, reverse=True)
+    steps = [r["orden"] for r in report.waterfall_report(model).collect()]
+    assert steps == list(range(1, 10))
+    for rows, key in ((report.margin_trend(model), "mes"), (report.daily_trend(model), "fecha")):
+        found = [r[key] for r in rows.collect()]
+        assert found == sorted(found)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_wide_prices_are_not_lost(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = spark.createDataFrame(
+            [("c", dt.date(2022, 1, 1), "d", "r", "Ford", "m", 2.5e12)],
+            "car_id string, date date, dealer_name string, dealer_region string, company string,"
+            " model string, price double",
+        )
+        fact = marts.Marts.from_curated(add_costs(rows)).kpi_mensual.first()
+        assert float(fact["ventas"]) == 2.5e12
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -87,6 +87,21 @@ def test_month_slicer_prunes_partitions_of_both_facts(spark, loaded):
             assert filters and all("mes" in f and "2022-02-01" in f for f in filters)
 
 
+@pytest.mark.parametrize("build", [report.secondary_cards, report.daily_trend])
+def test_looks_back_read_only_the_month_before(spark, loaded, build):
+    february = report.Selection(months=[dt.date(2022, 2, 1)])
+    stored = warehouse.import_marts(spark, loaded, warehouse.open_marts(spark, loaded))
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", physical(build(stored, february)))
+    assert any("mes" in f and "2022-01-01" in f and "2022-02-01" in f for f in filters)
+
+
+def test_the_sales_are_read_once_for_all_marts(spark, loaded):
+    views = warehouse.open_marts(spark, loaded)
+    derived = views.over(spark.createDataFrame([], views.kpi_diario.schema))
+    for frame in (derived.kpi_mensual, derived.dim_concesionaria, derived.dim_fecha):
+        assert "/ventas" not in physical(frame)
+
+
 def test_dealer_filter_reaches_the_scan(spark, loaded):
     one = report.Selection(dealers=["Sur"])
     plan = physical(one.monthly(warehouse.open_marts(spark, loaded)))

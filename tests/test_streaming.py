@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import shared_csv_lines, write_lines
 
 from saldero.plans import jobs
@@ -49,3 +50,35 @@ def test_files_that_split_a_day_add_up(spark, tmp_path):
 
     drain_landing(spark, str(landing), lake, checkpoint, profile)
     assert content(spark, lake) == content(spark, whole)
+
+
+def test_a_bad_day_does_not_stop_the_days_after_it(spark, tmp_path):
+    lines = shared_csv_lines()
+    bad = [x.replace(",15000,", ",-1,") for x in lines[1:]]
+    moved = [x.replace("2022-01-30", "2022-01-31") if n < 6 else x for n, x in enumerate(bad)]
+    head = ["2022-01-30".join(x.split("2022-01-31")) for x in lines[7:13]]
+    landing, lake = tmp_path / "landing", Lake(str(tmp_path / "lake"))
+    write_lines(landing / "a.csv", [lines[0], *head, *moved[:6], *moved[12:]])
+    with pytest.raises(Exception, match="price <= 0"):
+        drain_landing(spark, str(landing), lake, str(tmp_path / "c"), SourceProfile("yyyy-MM-dd"))
+    loaded = {str(r[0]) for r in read_layer(spark, lake.path(RAW_SALES)).select("date").collect()}
+    assert loaded == {"2022-01-30", "2022-02-01", "2022-02-02"}
+
+
+def test_files_may_order_their_columns_differently(spark, tmp_path):
+    lines = shared_csv_lines()
+    landing, lake = tmp_path / "landing", Lake(str(tmp_path / "lake"))
+    write_lines(landing / "a.csv", lines[:10])
+    turned = [",".join(reversed(x.split(","))) for x in [lines[0], *lines[10:]]]
+    write_lines(landing / "b.csv", turned)
+    drain_landing(spark, str(landing), lake, str(tmp_path / "c"), SourceProfile("yyyy-MM-dd"))
+    assert read_layer(spark, lake.path(CURATED_SALES)).count() == 24
+
+
+def test_a_file_that_breaks_the_contract_is_named(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_lines(landing / "short.csv", ["Date,Company", "2022-01-30,Ford"])
+    with pytest.raises(Exception, match="short.csv"):
+        drain_landing(
+            spark, str(landing), Lake(str(tmp_path / "l")), str(tmp_path / "c"), SourceProfile("yyyy-MM-dd")
+        )
