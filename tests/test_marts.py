@@ -232,7 +232,7 @@ def test_two_month_cards_compare_with_one_month(curated):
 
 
 def test_report_tables_come_in_their_order(curated):
-    model = marts.Marts.from_curated(curated)
+    model = Marts.from_curated(curated)
     matrix = report.dealer_matrix(model).collect()
     sold = [r["ventas"] for r in matrix if not r["is_total"]]
     assert matrix[-1]["is_total"] and sold == sorted(sold, reverse=True)
@@ -254,7 +254,7 @@ def test_wide_prices_are_not_lost(spark, ansi):
             "car_id string, date date, dealer_name string, dealer_region string, company string,"
             " model string, price double",
         )
-        fact = marts.Marts.from_curated(add_costs(rows)).kpi_mensual.first()
+        fact = Marts.from_curated(add_costs(rows)).kpi_mensual.first()
         assert float(fact["ventas"]) == 2.5e12
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
