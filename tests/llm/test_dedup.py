@@ -224,3 +224,19 @@ def test_every_slice_of_a_batch_has_its_own_sets():
     ]
     whole = near_duplicates.shingle_sets(texts, 5)
     assert all((a == b).all() for a, b in zip(sliced, whole, strict=True))
+
+
+def test_families_of_frequent_shingles_equal_brute_force(spark):
+    """Many variants of one text around the threshold, in blocks of a few."""
+    draw = random.Random(8)
+    base, rows = [f"b{k}" for k in range(90)], []
+    for n in range(160):
+        words = list(base)
+        for _ in range(draw.randint(0, 5)):
+            words[draw.randrange(90)] = f"own{n}x{draw.randrange(10**6)}"
+        rows.append((1000 - n, " ".join(words)))
+    settings = near_duplicates.Settings(sampled=1, frequent=20, block=30)
+    found = near_duplicates.near_duplicates(table(spark, rows), settings=settings).collect()
+    expected = components_by_hand(rows)
+    assert {r["doc_id"]: r["component_id"] for r in found} == expected
+    assert 1 < len(set(expected.values())) < 160
