@@ -8,13 +8,14 @@ fresh lake, the workload of the published reference figures.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import json
 import os
 import statistics
 import sys
 import time
 
-from saldero.plans import jobs, warehouse
+from saldero.plans import jobs, report, warehouse
 from saldero.session import build_session, scratch_path
 from saldero.sources.lake import Lake
 from testbed import tables as t
@@ -41,6 +42,11 @@ HEADLINE = (
     "R10_daily_trend",
     "R11_daily_detail",
 )
+STORED = {
+    "R2_over_stored_marts": report.secondary_cards,
+    "R8_over_stored_marts": report.dealer_matrix,
+    "R10_over_stored_marts": report.daily_trend,
+}
 YEAR = (dt.date(1996, 1, 1), dt.date(1996, 12, 31))
 
 
@@ -73,6 +79,16 @@ def main() -> None:
     seconds["job_backfill_365d"] = timed(lambda: jobs.backfill(sales, *YEAR, lake))
     seconds["job_curate_365d"] = timed(lambda: jobs.curate_range(spark, *YEAR, lake))
     seconds["job_warehouse_365d"] = timed(lambda: warehouse.refresh_warehouse(spark, lake))
+    views = warehouse.open_marts(spark, lake)
+    seconds["job_import_marts_365d"] = timed(lambda: warehouse.import_marts(spark, lake, views))
+
+    stored_lake = Lake(scratch_path(spark, "bench-marts"))
+    stored = warehouse.import_marts(spark, stored_lake, t.marts(spark, sf_dir))
+    for name, build in STORED.items():
+        question = functools.partial(build, stored, t.DEALER_SLICE)
+        noop = lambda q=question: q().write.format("noop").mode("overwrite").save()
+        noop()
+        seconds[name] = statistics.median(timed(noop) for _ in range(runs))
 
     print(
         json.dumps(
