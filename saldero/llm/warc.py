@@ -334,7 +334,6 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         base32_sha1(F.col("payload")).alias("payload_digest"),
         named[3].alias("named_digest"),
     )
-    responses = staged(responses, "responses")
     # one row per page and payload; repeated rows hold the same
     sizes = staged(
         responses.groupBy(F.col("page_id").alias("refers_to"), "named_digest").agg(
