@@ -9,7 +9,8 @@ quickly and end when no run is repeated. The suffixes of one rank at level
 ``n`` are an interval of the suffix array with longest common prefixes of at
 least ``n`` lines; in the interval of the shortest run that counts, every
 occurrence but the first marks its lines, and overlapping marks make up the
-maximal runs.
+maximal runs. Runs of one line count only where a least length of such a line
+is given (``long_line``); without it a line repeated alone stays, however long.
 
 Order is by id, nulls first, then by position. Rows that repeat both id and
 text count as one document. Null and empty texts have no lines to lose. Extra
@@ -35,10 +36,16 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     ]
 
 
-def lines_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(k1, k2, id, pos, a, b): every line with 128 bits that stand for it."""
+def lines_of(
+    df: DataFrame, id_col: str, text_col: str, long_line: int | None = None
+) -> DataFrame:
+    """(k1, k2, id, pos, a, b): every line with 128 bits that stand for it.
+
+    With ``long_line`` also ``long``: whether it has so many characters.
+    """
     text = text_or_empty(text_col)
     line = F.col("line")
+    long = [] if long_line is None else [(F.length(line) >= long_line).alias("long")]
     return (
         df.where(text != "")
         .select(
@@ -52,6 +59,7 @@ def lines_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             "pos",
             F.xxhash64(line).alias("a"),
             F.xxhash64(F.lit(17), line).alias("b"),
+            *long,
         )
     )
 
@@ -71,13 +79,21 @@ def _ranks(suffixes: DataFrame, pair: list[str]) -> DataFrame:
 
 def _ranked(suffixes: DataFrame, pair: list[str]) -> DataFrame:
     named = suffixes.join(_ranks(suffixes, pair), pair)
-    return staged(named.select(*_DOCUMENT, "id", "pos", F.col("place").alias("rank"), "first"), "suffixes")
+    long = [c for c in suffixes.columns if c == "long"]
+    rank = F.col("place").alias("rank")
+    return staged(named.select(*_DOCUMENT, "id", "pos", rank, "first", *long), "suffixes")
 
 
-def levels(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"):
+def levels(
+    df: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    long_line: int | None = None,
+):
     """(length, suffixes that share their first ``length`` lines with another), doubling."""
     length, pair = 1, ["a", "b"]
-    suffixes = staged(lines_of(df, id_col, text_col), "lines")
+    suffixes = staged(lines_of(df, id_col, text_col, long_line), "lines")
     while True:
         suffixes = _ranked(suffixes, pair)
         if suffixes.isEmpty():
@@ -85,7 +101,7 @@ def levels(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"):
         yield length, suffixes
         onward = Window.partitionBy(*_DOCUMENT).orderBy("pos").rangeBetween(length, length)
         paired = suffixes.withColumn("next", F.first("rank").over(onward)).where("next IS NOT NULL")
-        suffixes = staged(paired.drop("first"), "pairs")
+        suffixes = staged(paired.drop("first", "long"), "pairs")
         length, pair = 2 * length, ["rank", "next"]
 
 
@@ -95,24 +111,29 @@ def remove_repeated_runs(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_lines: int = 2,
+    long_line: int | None = None,
     kept_col: str = "kept_text",
 ) -> DataFrame:
     """``df`` with the text that is left, and counts of lines.
 
-    ``min_lines``, a power of two, is the shortest run that counts. Added are
+    ``min_lines``, a power of two, is the shortest run that counts; a single
+    line of at least ``long_line`` characters is one as well. Added are
     ``kept_col``, ``n_lines``, ``n_removed`` and ``longest_repeat``: the largest
     power of two for which a run of so many lines of the document is repeated.
     """
     if min_lines & (min_lines - 1):
         raise ValueError(f"min_lines must be a power of two, not {min_lines}")
     found = []
-    for length, suffixes in levels(df, id_col=id_col, text_col=text_col):
-        if length < min_lines:
+    for length, suffixes in levels(df, id_col=id_col, text_col=text_col, long_line=long_line):
+        alone = length == 1 < min_lines and long_line is not None
+        if alone:
+            suffixes = suffixes.where("long")
+        elif length < min_lines:
             continue
         later = F.struct("id", "k1", "k2", "pos") != F.col("first")
         marks = F.lit(None).cast("array<int>")
-        if length == min_lines:
-            marks = F.when(later, F.sequence("pos", F.col("pos") + min_lines - 1))
+        if alone or length == min_lines:
+            marks = F.when(later, F.sequence("pos", F.col("pos") + length - 1))
         found.append(suffixes.select(*_DOCUMENT, F.lit(length).alias("length"), marks.alias("marks")))
     schema = "k1 long, k2 long, longest_repeat int, removed array<int>"
     removed = df.sparkSession.createDataFrame([], schema)

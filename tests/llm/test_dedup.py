@@ -112,6 +112,24 @@ def test_later_copies_of_runs_are_removed(spark, length):
     assert {r["digest"] for r in found} == {"d"}
 
 
+@pytest.mark.parametrize("length", [2, 4])
+def test_long_lines_count_as_runs_of_one(spark, length):
+    passage = "a passage that stands alone"
+    rows = [*run_rows(), (200, f"1\n{passage}\n2\nf"), (201, f"3\n{passage}\n4"), (202, f"{passage}\n{passage}")]
+    rows += [(203, passage), (204, passage[:-1]), (205, passage[:-1]), (206, "f")]
+    frame = table(spark, rows)
+    found = line_runs.remove_repeated_runs(frame, min_lines=length, long_line=len(passage)).collect()
+    expected = removed_by_hand(rows, length)
+    for n, (i, text) in enumerate(rows):
+        if i in (201, 202, 203):
+            lines = text.split("\n")
+            left = [x for x in lines if x != passage]
+            expected[n] = ("\n".join(left), len(lines), len(lines) - len(left))
+    assert {r["row"]: (r["kept_text"], r["n_lines"], r["n_removed"]) for r in found} == expected
+    repeats = {r["doc_id"]: r["longest_repeat"] for r in found}
+    assert [repeats[i] for i in (200, 203, 204, 206)] == [1, 1, 0, 0]
+
+
 def test_longest_repeat_is_a_power_of_two(spark):
     rows = [(1, "a\nb\nc\nd\ne\nf"), (2, "x\na\nb\nc\nd\ne"), (3, "lone")]
     found = line_runs.remove_repeated_runs(table(spark, rows)).orderBy("doc_id").collect()
