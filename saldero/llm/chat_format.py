@@ -8,9 +8,11 @@ is text: what they have in common before and after the probe is the template's.
 
 Turns are ordered by turn, nulls first, then by role and text, so ties have one
 order; repeated rows are repeated turns. A null role or text is empty. Rows
-with a null id form one conversation. Extra columns are not returned. A long
-conversation is rendered in blocks, each after the last turn of the block
-before, so that its cost grows with its length; a conversation must fit a row.
+with a null id form one conversation. Extra columns are not returned. Every
+turn is rendered after all turns before it, whatever the template makes of
+them, so the cost grows with the square of the turns; only a caller who knows
+that a turn depends on no other turn but the one before may ask for blocks. A
+conversation must fit a row.
 """
 
 from __future__ import annotations
@@ -82,13 +84,16 @@ def _inside(render: Render, before: list[Turn], role: str, added: str, base: str
 
 
 def locate(
-    render: Render, turns: list[Turn], block_turns: int = 64
+    render: Render, turns: list[Turn], block_turns: int | None = None
 ) -> tuple[str, list[Span], list[int]]:
     """The formatted conversation, the span of each turn, and the turns that rewrote history.
 
     After a rewriting turn the spans follow what its rendering and the one
-    before still have in common.
+    before still have in common. With ``block_turns`` each block of so many
+    turns is rendered after the last turn of the block before alone, which is
+    right only for templates whose turns depend on nothing earlier.
     """
+    block_turns = block_turns or max(1, len(turns))
     parts, spans, rewriting, offset = [], [], [], 0
     for first in range(0, len(turns), block_turns):
         context = turns[first - 1 : first] if first else []
@@ -118,7 +123,7 @@ def locate(
 
 
 def format_conversations(
-    df: DataFrame, render: Render, *, block_turns: int = 64
+    df: DataFrame, render: Render, *, block_turns: int | None = None
 ) -> DataFrame:
     """Per conversation: conv_id, formatted, spans (with roles) and rewriting turns."""
     schema = (

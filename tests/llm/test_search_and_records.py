@@ -195,6 +195,25 @@ def test_templates_that_rewrite_history_are_detected():
     assert chat_format.locate(only_last_has_thoughts, turns[:2])[2] == []
 
 
+def test_every_turn_is_rendered_after_all_turns_before_it():
+    def counted(turns):
+        # every turn names its number, the first turn and, at turn 150, the first is rewritten
+        first = turns[0][1].upper() if len(turns) == 150 else turns[0][1]
+        return f"<{first}>" + "".join(f"[{n} {first} {r}]{t};" for n, (r, t) in enumerate(turns))
+
+    turns = [("u" if n % 2 else "a", f"turn {n}") for n in range(200)]
+    text, spans, rewriting = chat_format.locate(counted, turns)
+    assert text == counted(turns)
+    assert rewriting == [149, 150]
+    assert [text[s.text_start : s.text_end] for s in spans[151:]] == [t for _, t in turns[151:]]
+
+    def long_ago(turns):
+        return "".join(f"<{r}>{t if n > len(turns) - 101 else t[0]}" for n, (r, t) in enumerate(turns))
+
+    text, _, rewriting = chat_format.locate(long_ago, turns)
+    assert text == long_ago(turns) and rewriting == list(range(100, 200))
+
+
 def test_conversations_and_their_loss_text(spark):
     control = "\\### Assistant: </turn> ok"
     rows = [
