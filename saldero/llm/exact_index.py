@@ -8,7 +8,9 @@ of a digest owns it; inside an arrival the largest id does.
 
 A null text counts as empty, a null id sorts below every other id. Rows that
 repeat both id and text are told apart by ``row``, so exactly one row of a
-group stays. Extra columns are left alone.
+group stays. Numbers of rows hold inside one load; the index names the load of
+each owner, so a text that an earlier load brought keeps no row of a later one.
+Extra columns are left alone.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .frames import staged, text_or_empty
 
-_SCHEMA = "digest STRING, owner_row BIGINT, owner_id BIGINT"
+_SCHEMA = "digest STRING, owner_load BIGINT, owner_row BIGINT, owner_id BIGINT"
 
 
 class DigestIndex:
@@ -39,13 +41,16 @@ class DigestIndex:
         return self.spark.table(self.table)
 
     def add(self, arrival: DataFrame) -> None:
-        """Append the digests of ``arrival`` (digest, row, id) that the index lacks."""
+        """Append the digests of ``arrival`` (digest, load, row, id) that the index lacks."""
         owners = arrival.groupBy("digest").agg(
-            F.max(F.struct("id", "row")).alias("owner")
+            F.max(F.struct("id", "row", "load")).alias("owner")
         )
         new = owners.hint("merge").join(self.rows(), "digest", "left_anti")
         new.select(
-            "digest", F.col("owner.row").alias("owner_row"), F.col("owner.id").alias("owner_id")
+            "digest",
+            F.col("owner.load").alias("owner_load"),
+            F.col("owner.row").alias("owner_row"),
+            F.col("owner.id").alias("owner_id"),
         ).write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
 
@@ -55,9 +60,11 @@ class DigestIndex:
 
 
 def digests(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, digest) of every row, stored, so that ``row`` stays what it is."""
+    """(load, row, id, digest) of every row, stored, so that ``row`` stays what it is."""
+    load = uuid.uuid4().int >> 65
     return staged(
         df.select(
+            F.lit(load).cast("long").alias("load"),
             F.monotonically_increasing_id().alias("row"),
             F.col(id_col).cast("long").alias("id"),
             F.sha2(text_or_empty(text_col), 256).alias("digest"),
@@ -83,18 +90,21 @@ def arrivals_by_id(hashed: DataFrame, count: int) -> list[DataFrame]:
 def group_copies(hashed: DataFrame, index: DigestIndex) -> DataFrame:
     """(row, id, digest, keep_id, group_size, kept) of every stored row.
 
+    ``group_size`` counts rows of this load; the owner may be of an earlier one.
     The group table is stored before the join and read without its buckets, so
     adaptive execution may split the rows of a text that most documents share.
     """
     sizes = hashed.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     groups = staged(sizes.join(index.rows(), "digest"), "groups")
+    # an index from before loads were named has none
+    own = F.col("load").eqNullSafe(F.col("owner_load")) & (F.col("row") == F.col("owner_row"))
     return hashed.join(groups, "digest").select(
         "row",
         "id",
         "digest",
         F.col("owner_id").alias("keep_id"),
         "group_size",
-        (F.col("row") == F.col("owner_row")).alias("kept"),
+        own.alias("kept"),
     )
 
 
@@ -109,6 +119,7 @@ def mark_copies(
 ) -> DataFrame:
     """Every row with the group of its text; the largest id of a group stays.
 
+    Of a text that the index knew before this load no row stays.
     The rows arrive at the index from the largest ids down, each arrival
     deduplicated against those before it.
     """
@@ -122,7 +133,7 @@ def mark_copies(
 def drop_copies(
     df: DataFrame, index_path: str, *, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """``df`` without the rows whose text another row keeps.
+    """``df`` without the rows whose text another row keeps, also one of an earlier load.
 
     Of rows that repeat both id and text any one stays.
     """

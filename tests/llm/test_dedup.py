@@ -31,6 +31,19 @@ def marked(spark, rows, **options):
     return exact_index.mark_copies(table(spark, rows), path, **options).collect()
 
 
+@pytest.mark.parametrize("arrivals", [1, 2])
+def test_later_loads_keep_only_new_texts(spark, arrivals):
+    path, first = scratch_path(spark, "index"), [(1, "a"), (2, "b"), (2, "b"), (3, None)]
+    options = {"arrivals": arrivals, "buckets": 2}
+    exact_index.mark_copies(table(spark, first), path, **options)
+    again = exact_index.mark_copies(table(spark, first), path, **options).collect()
+    assert [r["kept"] for r in again] == [False] * 4
+    assert sorted((r["id"], r["keep_id"]) for r in again) == [(1, 1), (2, 2), (2, 2), (3, 3)]
+    second = [(9, "a"), (8, "c"), (7, ""), (6, "c"), (2, "b"), (None, "d")]
+    left = exact_index.drop_copies(table(spark, second), path, **options).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == [(0, "d"), (8, "c")]
+
+
 @pytest.mark.parametrize("arrivals", [1, 2, 5])
 def test_largest_id_of_equal_texts_stays(spark, arrivals):
     found = marked(spark, COPIES, arrivals=arrivals, buckets=2)
