@@ -257,6 +257,22 @@ def test_every_slice_of_a_batch_has_its_own_sets():
     assert all((a == b).all() for a, b in zip(sliced, whole, strict=True))
 
 
+def test_pairs_that_differ_by_a_frequent_passage(spark):
+    """Shares around 1/3 and 1/2, one set a part of the other, exactly at or above the threshold."""
+    passage = [f"p{k}" for k in range(260)]
+    rows = [(n, " ".join([*passage, *(f"holder{n}x{k}" for k in range(400))])) for n in range(10)]
+    for n, (shared, longer) in enumerate([(97, 196), (100, 200), (101, 200), (102, 201), (104, 204), (106, 206)]):
+        rest = [f"own{n}x{k}" for k in range(300 - shared)]
+        rows += [
+            (100 + 2 * n + i, " ".join([*rest, *passage[: count + 4]])) for i, count in enumerate((shared, longer))
+        ]
+    settings = near_duplicates.Settings(sampled=1)
+    found = near_duplicates.near_duplicates(table(spark, rows), settings=settings).collect()
+    expected = components_by_hand(rows)
+    assert {r["doc_id"]: r["component_id"] for r in found} == expected
+    assert all(expected[101 + 2 * n] == 100 + 2 * n for n in range(6))
+
+
 def test_families_of_frequent_shingles_equal_brute_force(spark):
     """Many variants of one text around the threshold, in blocks of a few."""
     draw = random.Random(8)
