@@ -25,6 +25,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def quoted(name: str) -> str:
+    """A column name as a reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -13,13 +13,14 @@ from . import (
     line_runs,
     near_duplicates,
     packing,
+    prefix_trie,
     token_counts,
     topk_search,
     toxicity,
     tree_bpe,
     warc,
 )
-from .frames import read_table
+from .frames import read_table, staged
 from ..session import scratch_path
 
 
@@ -125,6 +126,13 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    turns = staged(prefix_trie.numbered_turns(read_table(spark, sf_dir, "conversations")), "turns")
+    head = F.crc32(conv.cast("string")) % 9
+    return prefix_trie.prefix_trie(prefix_trie.grafted(turns, conv - conv % 5, head, 8))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_tree": op1_bpe_tree,
@@ -137,6 +145,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_chat_format": op10_chat_format,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -238,6 +247,53 @@ FROM whole
 """
 
 
+def _crc32_sql(number: str) -> str:
+    """The unsigned CRC-32 of a whole number's decimal text, bit by bit."""
+    step = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    octet = f"list_reduce(list_prepend(xor(c, b), range(8)), lambda a, i: {step})"
+    codes = f"list_transform(string_split(({number})::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {octet}), 4294967295)"
+
+
+OP13_SQL = f"""
+WITH sealed AS (
+    SELECT conv_id AS c, turn, strlen(coalesce(text, '')) AS n_bytes,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t
+    FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (
+    SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, t) - 1 AS pos FROM sealed
+), convs AS (SELECT c, c - c % 5 AS base, {_crc32_sql("c")} % 9 AS h FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+    SELECT v.c, 0 AS part, t.pos, t.t, t.n_bytes FROM convs v JOIN turns t ON t.c = v.base AND t.pos < v.h
+    UNION ALL
+    SELECT v.c, 1, t.pos, t.t, t.n_bytes FROM convs v JOIN turns t ON t.c = v.c AND t.pos >= v.h
+), paths AS (
+    SELECT c, list(t) OVER upto AS path, n_bytes FROM rebuilt
+    WINDOW upto AS (PARTITION BY c ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    UNION ALL SELECT c, [], 0 FROM convs
+), lengths AS (SELECT c, max(len(path)) AS whole FROM paths GROUP BY c
+), nodes AS (
+    SELECT path, len(path) AS depth, min(c) AS conv_id, count(*) AS n_convs, max(n_bytes) AS n_bytes,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE whole = len(path)), '')) AS ends_sha256
+    FROM paths JOIN lengths USING (c) GROUP BY path
+), parents AS (
+    SELECT path[:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN parents USING (path)
+), above AS (
+    SELECT path[:k] AS path, n_children, (n_convs - 1) * n_bytes AS saved
+    FROM (SELECT *, unnest(range(depth + 1)) AS k FROM counted)
+), sums AS (
+    SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM above GROUP BY path
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+       s.saved_tokens, n.ends_sha256
+FROM counted n JOIN sums s USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[:n.depth - 1]
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op2_line_runs": _op2_sql(),
@@ -245,4 +301,5 @@ def all_oracles() -> dict[str, str]:
         "op4_topk_search": OP4_SQL,
         "op8_exact_dedup": OP8_SQL,
         "op10_chat_format": OP10_SQL,
+        "op13_prefix_trie": OP13_SQL,
     }
