@@ -12,7 +12,9 @@ from . import (
     exact_index,
     line_runs,
     near_duplicates,
+    neighbour_graph,
     packing,
+    periodic_runs,
     prefix_trie,
     token_counts,
     topk_search,
@@ -126,6 +128,43 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_neighbour_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def _with_planted_tails(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document by its hash goes on periodically from some word on."""
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    hashed = documents.select(
+        "doc_id", F.col("text").cast("string"), F.crc32(F.col("doc_id").cast("string")).alias("h")
+    )
+    cut = hashed.select("doc_id", "text", "h", F.when(F.col("h") % 10 == 0, words).alias("words"))
+    sized = cut.select("*", F.size("words").alias("n"), F.floor(F.col("h") / 10).alias("g"))
+    begun = sized.withColumn("a", F.expr("CASE WHEN n > 0 THEN int(g % n) END"))
+    paced = begun.withColumn("p", F.expr("int(1 + floor((n - a) / (3 + g % 8)))"))
+    tail = "slice(flatten(array_repeat(slice(words, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)"
+    planted = F.expr(f"concat_ws(' ', concat(slice(words, 1, a), {tail}))")
+    return paced.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _with_planted_tails(read_table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(documents)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS a, -r.period AS b)))")
+    listed = F.expr(r"transform(runs, r -> concat(concat_ws(',', r.start, r.length, r.period), '\n'))")
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.a")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.b")).alias("period"),
+        F.expr("1000 * best.length div -best.b").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = F.col("conv")
     turns = staged(prefix_trie.numbered_turns(read_table(spark, sf_dir, "conversations")), "turns")
@@ -145,6 +184,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_chat_format": op10_chat_format,
+        "op11_neighbour_graph": op11_neighbour_graph,
+        "op12_periodic_runs": op12_periodic_runs,
         "op13_prefix_trie": op13_prefix_trie,
     }
 
@@ -255,6 +296,64 @@ def _crc32_sql(number: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {octet}), 4294967295)"
 
 
+OP11_SQL = """
+WITH RECURSIVE whole AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM whole a JOIN whole b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+    SELECT vec_id AS u, vec_id AS v FROM whole
+    UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+), least AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u
+), counted AS (SELECT u AS vec_id, count(*) AS n_links FROM links GROUP BY u
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN counted USING (vec_id) LEFT JOIN least USING (vec_id)
+"""
+
+OP12_SQL = rf"""
+WITH hashed AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{periodic_runs.WORD}') AS given,
+           {_crc32_sql("doc_id")} AS h
+    FROM documents
+), planted AS (
+    SELECT doc_id, given, len(given) AS n, h % 10 = 0 AND len(given) > 0 AS planted,
+           CASE WHEN len(given) > 0 THEN (h // 10) % len(given) END AS a, 3 + (h // 10) % 8 AS parts
+    FROM hashed
+), paced AS (SELECT *, 1 + (n - a) // parts AS p FROM planted
+), words AS (
+    SELECT doc_id, n, i, given[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM paced)
+), equal AS (
+    SELECT x.doc_id, x.n, y.i - x.i AS d, x.i
+    FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM equal
+), stretches AS (
+    SELECT doc_id, d, min(i) AS start, count(*) + d AS length FROM islands GROUP BY doc_id, d, island
+), runs AS (
+    SELECT doc_id, start, length, min(d) AS period FROM stretches
+    WHERE length >= greatest(6, 4 * d) GROUP BY doc_id, start, length
+), per_doc AS (
+    SELECT doc_id, count(*) AS n_runs,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+    FROM runs GROUP BY doc_id
+), best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), collapsed AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+       1000 * length // period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM documents LEFT JOIN per_doc USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN collapsed USING (doc_id)
+"""
+
 OP13_SQL = f"""
 WITH sealed AS (
     SELECT conv_id AS c, turn, strlen(coalesce(text, '')) AS n_bytes,
@@ -301,5 +400,7 @@ def all_oracles() -> dict[str, str]:
         "op4_topk_search": OP4_SQL,
         "op8_exact_dedup": OP8_SQL,
         "op10_chat_format": OP10_SQL,
+        "op11_neighbour_graph": OP11_SQL,
+        "op12_periodic_runs": OP12_SQL,
         "op13_prefix_trie": OP13_SQL,
     }
