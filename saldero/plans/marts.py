@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_attributes, month_label, month_start
@@ -18,6 +18,9 @@ KPI_MONTHLY_COLUMNS = (
     "ticket_promedio", "margen_bruto", "margen_ebitda", "cumplimiento",
 )
 
+SUMS = ("num_ventas", "ventas", "costo", "utilidad_bruta")
+DAY_KEY = ("fecha", "mes", "dealer_name")
+
 
 def typed_sales(curated: DataFrame) -> DataFrame:
     return curated.select(
@@ -53,14 +56,18 @@ def typed_targets(targets: DataFrame) -> DataFrame:
 def dim_dealer(sold: DataFrame, region: str = "dealer_region") -> DataFrame:
     """One region per dealer; the smallest, so that every run answers the same.
 
-    ``sold`` has sales, or days of sales with the smallest region of each.
+    The sales are hashed down to pairs first: the minimum of a text has no hash
+    aggregate and would sort them all.
     """
-    return sold.groupBy("dealer_name").agg(F.min(region).alias("region"))
+    pairs = sold.select("dealer_name", F.col(region).alias("region")).distinct()
+    smallest = Window.partitionBy("dealer_name").orderBy(F.col("region").asc_nulls_last())
+    first = pairs.withColumn("_place", F.row_number().over(smallest)).where("_place = 1")
+    return first.drop("_place")
 
 
-def dim_date(sold: DataFrame) -> DataFrame:
+def dim_date(sold: DataFrame, first: str = "fecha", last: str = "fecha") -> DataFrame:
     """Every day between the first and the last sale."""
-    bounds = sold.agg(F.min("fecha").alias("first"), F.max("fecha").alias("last"))
+    bounds = sold.agg(F.min(first).alias("first"), F.max(last).alias("last"))
     days = bounds.select(F.explode(F.sequence("first", "last")).alias("fecha"))
     day = F.col("fecha")
     return days.select(
@@ -97,10 +104,24 @@ def _amount_sums() -> list:
 
 def kpi_daily(ventas: DataFrame) -> DataFrame:
     """Daily fact. ``mes`` follows from ``fecha``, so it does not change the grain;
-    as a grouping key it lets a month filter reach the partitions of the sales.
-    With the smallest region of the day, all other marts follow from it."""
-    smallest = F.min("dealer_region").alias("region")
-    return ventas.groupBy("fecha", "mes", "dealer_name").agg(*_amount_sums(), smallest)
+    as a grouping key it lets a month filter reach the partitions of the sales."""
+    return ventas.groupBy(*DAY_KEY).agg(*_amount_sums())
+
+
+def sales_by_region(ventas: DataFrame) -> DataFrame:
+    """Sums per day, dealer and region: one pass over the sales that all marts follow from."""
+    return ventas.groupBy(*DAY_KEY, F.col("dealer_region").alias("region")).agg(*_amount_sums())
+
+
+def regions_to_days(by_region: DataFrame) -> DataFrame:
+    """The daily fact from ``sales_by_region``; the sums are exact."""
+    return by_region.groupBy(*DAY_KEY).agg(*[F.sum(n).alias(n) for n in SUMS])
+
+
+def dealer_months(by_region: DataFrame) -> DataFrame:
+    """Per month, dealer and region the first and last day: what both dimensions are made of."""
+    bounds = [F.min("fecha").alias("primera"), F.max("fecha").alias("ultima")]
+    return by_region.groupBy("mes", "dealer_name", "region").agg(*bounds)
 
 
 def sales_by_month(ventas: DataFrame) -> DataFrame:
@@ -109,8 +130,7 @@ def sales_by_month(ventas: DataFrame) -> DataFrame:
 
 def days_by_month(daily: DataFrame) -> DataFrame:
     """The sums of ``sales_by_month`` from those of the daily fact; they are exact."""
-    names = ("num_ventas", "ventas", "costo", "utilidad_bruta")
-    return daily.groupBy(*MONTH_KEY).agg(*[F.sum(n).alias(n) for n in names])
+    return daily.groupBy(*MONTH_KEY).agg(*[F.sum(n).alias(n) for n in SUMS])
 
 
 def _with_results(base: DataFrame) -> DataFrame:
@@ -154,10 +174,10 @@ def _joined_results(sums: DataFrame, gastos: DataFrame, objetivos: DataFrame) ->
 
 def kpi_monthly_from_sales(ventas: DataFrame) -> DataFrame:
     """Monthly fact straight from typed sales: one shuffle and no join."""
-    return _derived_results(sales_by_month(ventas))
+    return derived_results(sales_by_month(ventas))
 
 
-def _derived_results(sums: DataFrame) -> DataFrame:
+def derived_results(sums: DataFrame) -> DataFrame:
     """Results of a month with the expenses and targets that follow from its sums.
 
     They are computed beside the sums instead of being stored and joined back.
@@ -188,8 +208,10 @@ def _derived_results(sums: DataFrame) -> DataFrame:
 class Marts:
     """The star schema: two facts and three dimensions.
 
-    ``kpi_diario`` carries ``mes`` and ``region`` beside its public columns.
-    ``results`` makes the monthly fact from the sums of each dealer and month.
+    ``kpi_diario`` carries ``mes`` beside its public columns. ``results`` makes
+    the monthly fact from the sums of each dealer and month, ``by_region`` are
+    the sums that all of them can be made from. ``source`` tells what stored
+    partitions the marts were made of, if it is known.
     """
 
     kpi_mensual: DataFrame
@@ -198,6 +220,8 @@ class Marts:
     dim_fecha: DataFrame
     dim_mes: DataFrame
     results: Callable[[DataFrame], DataFrame]
+    by_region: DataFrame | None = None
+    source: dict | None = None
 
     @classmethod
     def of(cls, ventas: DataFrame, results: Callable[[DataFrame], DataFrame]) -> Marts:
@@ -209,6 +233,7 @@ class Marts:
             dim_fecha=calendar,
             dim_mes=dim_month(calendar),
             results=results,
+            by_region=sales_by_region(ventas),
         )
 
     @classmethod
@@ -217,24 +242,25 @@ class Marts:
 
     @classmethod
     def from_curated(cls, curated: DataFrame) -> Marts:
-        return cls.of(typed_sales(curated), _derived_results)
+        return cls.of(typed_sales(curated), derived_results)
 
-    def over(self, daily: DataFrame) -> Marts:
-        """The same marts from a stored daily fact, without reading the sales again."""
-        calendar = dim_date(daily)
+    def over(self, daily: DataFrame, months: DataFrame) -> Marts:
+        """The same marts from a stored daily fact and ``dealer_months``, without the sales."""
+        calendar = dim_date(months, "primera", "ultima")
         return replace(
             self,
             kpi_mensual=self.results(days_by_month(daily)),
             kpi_diario=daily,
-            dim_concesionaria=dim_dealer(daily, "region"),
+            dim_concesionaria=dim_dealer(months, "region"),
             dim_fecha=calendar,
             dim_mes=dim_month(calendar),
+            by_region=None,
         )
 
     def views(self) -> dict[str, DataFrame]:
         return {
             "dim_concesionaria": self.dim_concesionaria,
             "dim_fecha": self.dim_fecha,
-            "kpi_diario": self.kpi_diario.drop("mes", "region"),
+            "kpi_diario": self.kpi_diario.drop("mes"),
             "kpi_mensual": self.kpi_mensual,
         }

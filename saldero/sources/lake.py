@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
-import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -20,9 +19,10 @@ from pyspark.sql.types import StructType
 
 from ..session import remove_path
 from .errors import is_absent
+from .files import names_below
 
 # Layer directories and partition columns.
-LANDED_SALES = "landed/ventas"
+LANDED = "landed"
 RAW_SALES = "raw/ventas"
 CURATED_SALES = "curated/ventas"
 CURATED_EXPENSES = "curated/gastos_mensuales"
@@ -32,8 +32,10 @@ MONTH_PARTITION = "month"
 
 TYPED_TABLES = "typed"
 MARTS = "marts"
+CONTROL = "control"
+ID_INDEX = "ids"
 
-_WRITE_SETTINGS = {
+WRITE_SETTINGS = {
     # splitting a partition value with a large share of the rows is adaptive work
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
@@ -42,7 +44,7 @@ _WRITE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
 }
 # Fixed value: the directory name of a missing partition value.
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
@@ -63,7 +65,7 @@ class Lake:
 
 
 @contextlib.contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+def session_settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the time of one write."""
     before = {k: spark.conf.get(k, None) for k in values}
     for key, value in values.items():
@@ -78,27 +80,6 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def _list(spark: SparkSession, path: str) -> list[str]:
-    """Names below a folder, none when it is missing."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not file_system.exists(hadoop_path):
-        return []
-    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
-
-
-def replace_folder(df: DataFrame, path: str) -> None:
-    """Write an unpartitioned table beside the old one, then put it in its place."""
-    spark, fresh = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    try:
-        df.write.parquet(fresh)
-        remove_path(spark, path)
-        new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
-        new.getFileSystem(spark._jsc.hadoopConfiguration()).rename(new, old)
-    finally:
-        remove_path(spark, fresh)
-
-
 def write_partitions(
     df: DataFrame,
     path: str,
@@ -117,13 +98,13 @@ def write_partitions(
     so a write that fails leaves the old table whole.
     """
     spark = df.sparkSession
-    before = set(_list(spark, path)) if replace_all else set()
+    before = set(names_below(spark, path)) if replace_all else set()
     arranged = df.hint("rebalance", partition).sortWithinPartitions(partition, *sort_by)
     written = Observation()
-    values = F.collect_set(F.coalesce(F.col(partition).cast("string"), F.lit(_NULL_PARTITION)))
+    values = F.collect_set(F.coalesce(F.col(partition).cast("string"), F.lit(NULL_PARTITION)))
     # one short value per partition, which the writer lists as well
     observed = arranged.observe(written, values.alias("values")) if replace_all else arranged
-    with _settings(spark, _WRITE_SETTINGS):
+    with session_settings(spark, WRITE_SETTINGS):
         (
             observed.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -137,6 +118,12 @@ def write_partitions(
                 remove_path(spark, f"{path}/{name}")
 
 
+def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable[str]) -> None:
+    """Remove whole partitions, as a day or month without rows needs it; missing ones are fine."""
+    for value in values:
+        remove_path(spark, f"{path}/{partition}={value}")
+
+
 def layer_schema(columns: dict[str, str], partition: str) -> str:
     """The declared schema of a layer of sales; the partition is a day."""
     return ", ".join(f"{name} {kind}" for name, kind in {**columns, partition: "date"}.items())
@@ -162,7 +149,7 @@ def read_layer(
     # listing takes place in this call: one task per core, not one per directory
     listing = {_LISTING_TASKS: str(spark.sparkContext.defaultParallelism)}
     try:
-        with _settings(spark, listing):
+        with session_settings(spark, listing):
             return reader.parquet(path)
     except AnalysisException as error:
         if is_absent(error):
