@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_range, month_label, replay_day
@@ -25,6 +25,7 @@ from ..operators.enrich import (
     monthly_targets,
     with_position,
 )
+from ..operators.fingerprint import SUMS, fingerprints
 from ..operators.quality import (
     Limits,
     RulesBroken,
@@ -41,11 +42,13 @@ from ..sources.lake import (
     MONTH_PARTITION,
     RAW_SALES,
     Lake,
+    drop_partitions,
     read_days,
     read_months,
     write_partitions,
 )
 from ..sources.sales import SALE_TYPES
+from . import control
 
 CURATED_TYPES = SALE_TYPES | COST_TYPES
 
@@ -67,10 +70,16 @@ class _Verdict:
         scope = report.columns[0]
         rows = sorted(report.collect(), key=lambda r: r[scope])
         self.rows = {r[scope]: r["n_rows"] for r in rows}
+        self.content = {r[scope]: ":".join(str(r[n]) for n in SUMS) for r in rows if SUMS[0] in r}
         failing = [r for r in rows if r["issues"]]
+        self.issues = {r[scope]: r["issues"] for r in failing}
         self.failed = failing[0][scope] if failing else None
         self.broken = failing[0]["issues"] if failing else []
 
+    def good(self) -> list[dt.date]:
+        """Scopes with rows that break no rule, those behind a failing one included."""
+        return [s for s in self.rows if s not in self.issues]
+
     def passed(self) -> list[dt.date]:
         """Scopes with rows before the first failing one."""
         return [s for s in self.rows if self.failed is None or s < self.failed]
@@ -135,18 +144,41 @@ def backfill(
     return _load(chosen, days, lake, limits)
 
 
+def _write_raw(good: DataFrame, lake: Lake) -> None:
+    declared = _declared(good, SALE_TYPES).withColumn(DAY_PARTITION, F.col("date"))
+    write_partitions(declared, lake.path(RAW_SALES), DAY_PARTITION, ["dealer_name"])
+
+
+def load_good_days(
+    sales: DataFrame, lake: Lake, limits: Limits = Limits()
+) -> dict[dt.date, RulesBroken]:
+    """Write the raw days that keep the rules, all in one job; what the other days broke."""
+    with _staged(sales.where(F.col("date").isNotNull())) as frozen:
+        dated = _identified(frozen)
+        verdict = _Verdict(raw_report(dated, by="date", limits=limits))
+        good = verdict.good()
+        if good:
+            whole = len(good) == len(verdict.rows)
+            _write_raw(dated if whole else dated.where(F.col("date").isin(good)), lake)
+    return {d: RulesBroken(f"raw {d}", issues) for d, issues in verdict.issues.items()}
+
+
+def drop_days(spark: SparkSession, days: list[dt.date], lake: Lake) -> None:
+    """Remove days that have no sales any more from both layers, and rebuild their months."""
+    if not days:
+        return
+    control.remember(spark, lake, days)
+    for layer in (RAW_SALES, CURATED_SALES):
+        drop_partitions(spark, lake.path(layer), DAY_PARTITION, [str(d) for d in days])
+    build_months(spark, {d.replace(day=1) for d in days}, lake)
+
+
 def _load(chosen: DataFrame, days: list[dt.date], lake: Lake, limits: Limits) -> DayCounts:
     dated = _identified(chosen.where(F.col("date").isNotNull()))
     verdict = _Verdict(raw_report(dated, by="date", limits=limits))
     passed = verdict.passed()
     if passed:
-        good = _declared(dated.where(F.col("date") <= F.lit(passed[-1])), SALE_TYPES)
-        write_partitions(
-            good.withColumn(DAY_PARTITION, F.col("date")),
-            lake.path(RAW_SALES),
-            DAY_PARTITION,
-            ["dealer_name"],
-        )
+        _write_raw(dated.where(F.col("date") <= F.lit(passed[-1])), lake)
     verdict.raise_if_failed(f"raw {verdict.failed}")
     counts = DayCounts((day, verdict.rows.get(day, 0)) for day in days)
     counts.undated = chosen.where(F.col("date").isNull()).count()
@@ -158,61 +190,160 @@ def ingest_day(sales: DataFrame, day: dt.date, lake: Lake, limits: Limits = Limi
 
 
 def curate_range(
-    spark: SparkSession, start: dt.date, end: dt.date, lake: Lake, limits: Limits = Limits()
+    spark: SparkSession,
+    start: dt.date,
+    end: dt.date,
+    lake: Lake,
+    limits: Limits = Limits(),
+    *,
+    again: bool = False,
 ) -> dict[dt.date, int]:
-    """Enrich the raw days of a range, then rebuild each month they touch."""
-    counts, passed, verdict = _curate(spark, start, end, lake, limits)
-    if verdict is not None:
-        verdict.raise_if_failed(f"curated {verdict.failed}")
-    build_months(spark, {d.replace(day=1) for d in passed}, lake)
-    return counts
+    """Enrich the raw days of a range, then rebuild each month they touch.
+
+    Days whose raw rows are the ones they were curated from, under the same
+    limits, are left as they are; ``again`` curates them all the same.
+    """
+    return _curate(spark, start, end, lake, limits, monthly=True, again=again)[0]
+
+
+def curate_good_days(
+    spark: SparkSession, days: list[dt.date], lake: Lake, limits: Limits = Limits()
+) -> dict[dt.date, RulesBroken]:
+    """Curate some raw days and rebuild their months; what the days that break a rule broke."""
+    if not days:
+        return {}
+    start, end, chosen = min(days), max(days), set(days)
+    _, broken = _curate(
+        spark, start, end, lake, limits, monthly=True, again=False, chosen=chosen, go_on=True
+    )
+    return broken
 
 
 def curate_day(
-    spark: SparkSession, day: dt.date, lake: Lake, limits: Limits = Limits()
+    spark: SparkSession, day: dt.date, lake: Lake, limits: Limits = Limits(), *, again: bool = False
 ) -> int:
     """Enrich one raw day without rebuilding its month."""
-    counts, _, verdict = _curate(spark, day, day, lake, limits)
-    if verdict is not None:
-        verdict.raise_if_failed(f"curated {verdict.failed}")
-    return counts[day]
+    return _curate(spark, day, day, lake, limits, monthly=False, again=again)[0][day]
 
 
 def _enriched(raw: DataFrame) -> DataFrame:
     return _declared(add_costs(raw), CURATED_TYPES)
 
 
+def _source_key(limits: Limits) -> Column:
+    return F.concat(F.col("fingerprint"), F.lit(f" {limits.margin} {limits.rounding_tolerance}"))
+
+
+def _raw_days(raw: DataFrame, limits: Limits) -> DataFrame:
+    """(sale_date, n_rows, fingerprint, source): one pass over the raw rows."""
+    return fingerprints(raw, DAY_PARTITION, tuple(SALE_TYPES)).withColumn("source", _source_key(limits))
+
+
+def raw_states(
+    spark: SparkSession, start: dt.date, end: dt.date, lake: Lake, limits: Limits = Limits()
+) -> DataFrame | None:
+    """(day, n_rows, known) of the raw days of a range: whether curating would leave them alone."""
+    raw = read_days(spark, lake.path(RAW_SALES), start, end, SALE_TYPES)
+    if raw is None:
+        return None
+    records = control.read_days(spark, lake)
+    return control.day_states(_raw_days(raw, limits), records, DAY_PARTITION, F.col("source"))
+
+
+def reconcile_days(spark: SparkSession, start: dt.date, end: dt.date, lake: Lake) -> DataFrame | None:
+    """The stored curated days of a range judged against the stored raw days, content included."""
+    raw, curated = (
+        read_days(spark, lake.path(layer), start, end, types)
+        for layer, types in ((RAW_SALES, SALE_TYPES), (CURATED_SALES, CURATED_TYPES))
+    )
+    if raw is None or curated is None:
+        return None
+    return curated_report(curated, raw, by=DAY_PARTITION, content=tuple(SALE_TYPES))
+
+
 def _curate(
     spark: SparkSession,
     start: dt.date,
     end: dt.date,
     lake: Lake,
     limits: Limits,
-) -> tuple[dict[dt.date, int], list[dt.date], _Verdict | None]:
-    """Write the curated days that pass: rows per day, days written, the verdict.
-
-    The rows are hashed once, into the staged copy. The rules compare what was
-    staged with what the raw layer holds.
+    *,
+    monthly: bool,
+    again: bool,
+    chosen: set[dt.date] | None = None,
+    go_on: bool = False,
+) -> tuple[dict[dt.date, int], dict[dt.date, RulesBroken]]:
+    """Write the curated days that changed and pass: rows per day, and what others broke.
+
+    A day that breaks a rule stops the days behind it and is raised, unless the
+    run is to ``go_on``. The rows are hashed once, into the staged copy. The rules compare what was
+    staged with what the raw layer holds. The records of days about to be
+    written are dropped first and come back last, so that a run that fails in
+    between does them again.
     """
-    days = day_range(start, end)
+    counts = dict.fromkeys(day_range(start, end), 0)
     raw = read_days(spark, lake.path(RAW_SALES), start, end, SALE_TYPES)
     if raw is None:
-        return dict.fromkeys(days, 0), [], None
-    with _staged(_enriched(raw)) as curated:
-        verdict = _Verdict(curated_report(curated, raw, by=DAY_PARTITION, limits=limits))
-        passed = verdict.passed()
+        return counts, {}
+    if chosen is not None and len(chosen) < len(counts):
+        raw = raw.where(F.col(DAY_PARTITION).isin(sorted(chosen)))
+    # one short row per day of the range
+    found = {r[DAY_PARTITION]: r for r in _raw_days(raw, limits).collect()}
+    known = control.known_days(spark, lake, list(found))
+    changed = sorted(d for d, r in found.items() if again or not _up_to_date(known.get(d), r, monthly))
+    counts |= {d: r["n_rows"] for d, r in found.items()}
+    if not changed:
+        return counts, {}
+    stale = raw if len(changed) == len(found) else raw.where(F.col(DAY_PARTITION).isin(changed))
+    kinds = f"{DAY_PARTITION} date, n_rows long, " + ", ".join(f"{n} decimal(38,0)" for n in SUMS)
+    fields = (DAY_PARTITION, "n_rows", *SUMS)
+    sums = spark.createDataFrame([tuple(found[d][f] for f in fields) for d in changed], kinds)
+    with _staged(_enriched(stale)) as curated:
+        shared = tuple(SALE_TYPES)
+        verdict = _Verdict(
+            curated_report(curated, sums, DAY_PARTITION, limits, content=shared, counted=True)
+        )
+        passed = verdict.good() if go_on else verdict.passed()
         if passed:
-            good = curated.where(F.col(DAY_PARTITION) <= F.lit(passed[-1]))
+            control.remember(spark, lake, [d for d in passed if d in known])
+            whole = len(passed) == len(changed)
+            good = curated if whole else curated.where(F.col(DAY_PARTITION).isin(passed))
             write_partitions(good, lake.path(CURATED_SALES), DAY_PARTITION, ["dealer_name"])
-    return {day: verdict.rows.get(day, 0) for day in days}, passed, verdict
+    finished = go_on or verdict.failed is None
+    if monthly and finished:
+        build_months(spark, {d.replace(day=1) for d in passed}, lake)
+    records = [
+        control.DayRecord(d, found[d]["n_rows"], found[d]["source"], verdict.content[d], monthly and finished)
+        for d in passed
+    ]
+    control.remember(spark, lake, (), records)
+    if not go_on:
+        verdict.raise_if_failed(f"curated {verdict.failed}")
+    broken = {d: RulesBroken(f"curated {d}", issues) for d, issues in verdict.issues.items()}
+    return counts, broken
+
+
+def _up_to_date(record: control.DayRecord | None, raw: Row, monthly: bool) -> bool:
+    return record is not None and record.source == raw["source"] and (record.monthly or not monthly)
+
+
+def _drop_months(spark: SparkSession, months: list[dt.date], lake: Lake) -> None:
+    labels = [f"{m:%Y-%m}" for m in months]
+    for layer in (CURATED_EXPENSES, CURATED_TARGETS):
+        drop_partitions(spark, lake.path(layer), MONTH_PARTITION, labels)
 
 
 def build_months(
     spark: SparkSession, months: Iterable[dt.date], lake: Lake
 ) -> dict[dt.date, int]:
-    """Expenses and targets of whole months, from all their curated days."""
-    curated = read_months(spark, lake.path(CURATED_SALES), months, CURATED_TYPES)
+    """Expenses and targets of whole months, from all their curated days.
+
+    A month whose curated days are gone loses its rows in both tables.
+    """
+    wanted = sorted(set(months))
+    curated = read_months(spark, lake.path(CURATED_SALES), wanted, CURATED_TYPES)
     if curated is None:
+        _drop_months(spark, wanted, lake)
         return {}
     # one small row per dealer and month, read by the gate and by both writers
     base = monthly_base(curated).persist(StorageLevel.MEMORY_AND_DISK)
@@ -232,6 +363,7 @@ def build_months(
                 )
         if verdict.failed is not None:
             verdict.raise_if_failed(f"tablas mensuales {verdict.failed:%Y-%m}")
+        _drop_months(spark, [m for m in wanted if m not in verdict.rows], lake)
         return verdict.rows
     finally:
         base.unpersist()
