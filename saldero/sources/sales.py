@@ -1,8 +1,9 @@
 """Sales sources: delimited files or any DataFrame, brought to one contract.
 
-``load_source`` makes one narrow pass to learn what a typed reader needs (the
-date format of the load, whether prices and identifiers are numeric). A caller
-who knows these facts passes a ``SourceProfile`` and saves that pass.
+``load_source`` makes two narrow passes to learn what a typed reader needs (the
+shapes of the dates, then the order of their fields and whether prices and
+identifiers are numeric). A caller who knows these facts passes a
+``SourceProfile`` and saves both.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.money import nan_to_null
 from ..functions.text import normalise_header, tokens_to_null
+from .date_shapes import PIVOT, DateReading, choose, common_readings, shapes_of, unread
 from .errors import SourceError, SourceNotFound, is_absent
 
 # The column contracts of a sales source.
@@ -32,31 +34,18 @@ SALE_TYPES = {
     "dealer_region": "string",
 }
 
-# Tried in this order; one format must fit every non-blank date of a load. The
-# shape keeps the costly failing parse away from texts that cannot fit.
-DATE_FORMATS = {
-    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
-    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
-    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
-    "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
-    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
-    "M/d/yyyy H:mm": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$",
-    "M/d/yyyy H:mm:ss": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$",
-    "yyyyMMdd": r"^\d{8}$",
-    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
-    "M/d/yy": r"^\d{1,2}/\d{1,2}/\d{2}$",
-    "d MMM yyyy": r"^\d{1,2} [A-Z][a-z]{2} \d{4}$",
-    "MMM d, yyyy": r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$",
-}
 # A cast alone would also read Java's type suffixes, as in 12000d.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 @dataclass(frozen=True)
 class SourceProfile:
-    """Facts about one load that its text alone does not declare."""
+    """Facts about one load that its text alone does not declare.
+
+    ``date_format`` is a pattern of Spark's, or what a pass over the dates found.
+    """
 
-    date_format: str
+    date_format: str | DateReading
     numeric_price: bool = True
     integer_ids: bool = False
 
@@ -116,27 +105,40 @@ def text_columns(raw: DataFrame) -> DataFrame:
     return named.select(*[tokens_to_null(F.col(c)).alias(c) for c in named.columns])
 
 
-def read_csv_text(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
+def read_csv_text(
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    multiline: bool = False,
+    path_col: str | None = None,
+) -> DataFrame:
     """All columns as text, headers normalised, missing-value tokens as null.
 
     ``multiline`` allows line breaks inside quotes, at the price of files that
-    cannot be split between tasks.
+    cannot be split between tasks. ``path_col`` adds the file of each row.
     """
-    return text_columns(
+    raw = (
         spark.read.option("header", "true")
         .option("escape", '"')
         .option("enforceSchema", "false")
         .option("multiLine", str(multiline).lower())
         .csv(path)
     )
+    if path_col is None:
+        return text_columns(raw)
+    named = normalise_columns(raw).select("*", F.col("_metadata.file_path").alias(path_col))
+    tokens = [tokens_to_null(F.col(c)).alias(c) for c in named.columns if c != path_col]
+    return named.select(*tokens, path_col)
 
 
-def _parsed(date_format: str) -> Column:
+def _parsed(date_format: str | DateReading) -> Column:
+    if isinstance(date_format, DateReading):
+        return date_format.parse(F.col("date"))
     parsed = F.to_date(F.try_to_timestamp(F.col("date"), F.lit(date_format)))
     if "yy" in date_format and "yyyy" not in date_format:
-        # two digits from 69 on belong to the last century
-        parsed = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed)
-    return F.when(F.col("date").rlike(DATE_FORMATS[date_format]), parsed)
+        first = 2000 + PIVOT
+        parsed = F.when(F.year(parsed) >= first, F.add_months(parsed, -1200)).otherwise(parsed)
+    return parsed
 
 
 def _price() -> Column:
@@ -144,13 +146,17 @@ def _price() -> Column:
     return F.when(F.col("price").rlike(NUMBER), F.col("price").try_cast("double"))
 
 
-def profile_source(text: DataFrame) -> SourceProfile:
-    """One pass over the date, price and id columns of an all-text frame."""
+def profile_source(text: DataFrame, *, refuse_ambiguous: bool = False) -> SourceProfile:
+    """What the date, price and id columns of an all-text frame are.
+
+    A pass over the dates finds their shapes; a second one tests the orders of
+    fields that these allow, prices and ids. A load whose dates fit month first
+    and day first alike is read month first, unless it is to be refused.
+    """
+    shapes = shapes_of(text)
+    readings = common_readings(shapes)
     has_id = "car_id" in text.columns
-    tests = [
-        F.count_if(F.col("date").isNotNull() & _parsed(f).isNull()).alias(f"d{i}")
-        for i, f in enumerate(DATE_FORMATS)
-    ]
+    tests = unread(readings)
     tests.append(
         F.count_if(F.col("price").isNotNull() & _price().isNull()).alias("bad_price")
     )
@@ -160,13 +166,8 @@ def profile_source(text: DataFrame) -> SourceProfile:
             F.count_if(car_id.isNull() | car_id.try_cast("bigint").isNull()).alias("text_ids")
         )
     found = text.agg(*tests).first()
-
-    fitting = [f for i, f in enumerate(DATE_FORMATS) if found[f"d{i}"] == 0]
-    if not fitting:
-        fewest = min(found[f"d{i}"] for i in range(len(DATE_FORMATS)))
-        raise SourceError(f"no single date format fits the load; at best {fewest} dates fail")
     return SourceProfile(
-        date_format=fitting[0],
+        date_format=choose(readings, found, shapes, refuse_ambiguous),
         numeric_price=found["bad_price"] == 0,
         integer_ids=has_id and found["text_ids"] == 0,
     )
@@ -188,12 +189,26 @@ def type_columns(text: DataFrame, profile: SourceProfile) -> DataFrame:
     return text.withColumns(typed)
 
 
+def type_or_mark(text: DataFrame, profile: SourceProfile, mark: str) -> DataFrame:
+    """``type_columns`` for loads that go on: ``mark`` tells the rows with an unreadable value."""
+    date, price = _parsed(profile.date_format), _price()
+    unreadable = F.col("date").isNotNull() & date.isNull()
+    typed = {"date": date}
+    if profile.numeric_price:
+        unreadable = unreadable | (F.col("price").isNotNull() & price.isNull())
+        typed["price"] = price
+    if profile.integer_ids:
+        typed["car_id"] = F.col("car_id").try_cast("bigint").cast("string")
+    return text.withColumns({**typed, mark: unreadable})
+
+
 def load_source(
     spark: SparkSession,
     path: str,
     profile: SourceProfile | None = None,
     *,
     multiline: bool = False,
+    refuse_ambiguous: bool = False,
 ) -> DataFrame:
     """A CSV (file or directory) as a sales frame without personal data.
 
@@ -201,7 +216,8 @@ def load_source(
     the type reports them; an unreadable date fails the load.
     """
     text = drop_pii(check_contract(read_csv_text(spark, path, multiline=multiline)))
-    return type_columns(text, profile or profile_source(text))
+    found = profile or profile_source(text, refuse_ambiguous=refuse_ambiguous)
+    return type_columns(text, found)
 
 
 def prepare_sales(df: DataFrame) -> DataFrame:

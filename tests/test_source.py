@@ -132,3 +132,83 @@ def test_extra_columns_pass_through(spark, tmp_path):
     lines = [gap_csv_lines()[0] + ",Colour"] + [x + ",red" for x in gap_csv_lines()[1:]]
     found = load_source(spark, write_lines(tmp_path / "a.csv", lines))
     assert found.where(F.col("colour") == "red").count() == 4
+
+
+def dated(tmp_path, *texts):
+    lines = gap_csv_lines()[:1]
+    return write_lines(tmp_path / "a.csv", lines + [f'{i},"{x}",x,M,A,Ford,m1,100,1' for i, x in enumerate(texts)])
+
+
+@pytest.mark.parametrize(
+    "texts, day",
+    [
+        (["January 5, 2022"], dt.date(2022, 1, 5)),
+        (["jan 5, 2022", "JAN 5, 2022"], dt.date(2022, 1, 5)),
+        (["5 Sept. 2021"], dt.date(2021, 9, 5)),
+        (["May 5 2022", "May 5 2022"], dt.date(2022, 5, 5)),
+        (["Wednesday, 5 January 2022"], dt.date(2022, 1, 5)),
+        (["5.1.2022", "25.1.2022"], dt.date(2022, 1, 5)),
+        (["2022.01.05"], dt.date(2022, 1, 5)),
+        (["13/01/69", "05/01/69"], dt.date(1969, 1, 5)),
+        (["05-01-22", "31-01-22"], dt.date(2022, 1, 5)),
+        (["22-01-05", "33-01-31"], dt.date(2022, 1, 5)),
+        (["5-Jan-22"], dt.date(2022, 1, 5)),
+        (["45-Jan-05"], dt.date(2045, 1, 5)),
+        (["2022-01-05T23:59:59+02:00", "2022-01-05T00:00:00Z"], dt.date(2022, 1, 5)),
+        (["2022-01-05 23:59:59.123456 -0500", "2022-01-05"], dt.date(2022, 1, 5)),
+        (["1/5/2022 11:30 PM", "1/13/2022 1:30 a.m."], dt.date(2022, 1, 5)),
+        (["20220105"], dt.date(2022, 1, 5)),
+        (["2022-31-12", "2022-05-01"], dt.date(2022, 1, 5)),
+        (["  2022-01-05 "], dt.date(2022, 1, 5)),
+    ],
+)
+def test_dates_are_read_by_their_shape(spark, tmp_path, texts, day):
+    found = {r.date for r in load_source(spark, dated(tmp_path, *texts)).collect()}
+    assert day in found and None not in found
+
+
+@pytest.mark.parametrize(
+    "texts",
+    [
+        ["January 5, 2022", "2022-01-05"],
+        ["5.1.2022", "5/1/2022"],
+        ["32/13/2022"],
+        ["5 Janvier 2022"],
+        ["2022-01-05", "2022-01-05 25 o'clock"],
+        ["13/01/2022", "01/13/2022"],
+        ["5/2022/1"],
+        ["202201051"],
+        ["February 30, 2022"],
+        ["1/5/2022 and more"],
+    ],
+)
+def test_loads_of_no_single_form_are_refused_with_their_shapes(spark, tmp_path, texts):
+    with pytest.raises(SourceError, match="no single date format.*as in"):
+        load_source(spark, dated(tmp_path, *texts))
+
+
+@pytest.mark.parametrize(
+    "texts, orders",
+    [
+        (["1/5/2022", "12/12/2022"], "mdy or dmy"),
+        (["01.05.22", "03.04.05"], "mdy or dmy or ymd"),
+        (["05-Jan-22"], "dmy or ymd"),
+    ],
+)
+def test_an_ambiguous_load_is_refused_with_its_evidence(spark, tmp_path, texts, orders):
+    path = dated(tmp_path, *texts)
+    with pytest.raises(SourceError, match=f"{orders}.*as in"):
+        load_source(spark, path, refuse_ambiguous=True)
+    assert load_source(spark, path).count() == len(texts)
+    decided = load_source(spark, dated(tmp_path, "13/1/2022", "1/5/2022"), refuse_ambiguous=True)
+    assert {r.date for r in decided.collect()} == {dt.date(2022, 1, 13), dt.date(2022, 5, 1)}
+
+
+def test_very_many_shapes_are_refused_without_collecting_them(spark, tmp_path):
+    texts = ["2022-01-05"] * 3 + ["-" * n + "1" for n in range(60)]
+    with pytest.raises(SourceError, match="among its shapes.*2022-01-05"):
+        load_source(spark, dated(tmp_path, *texts))
+
+
+def test_a_load_without_dates_has_none(spark, tmp_path):
+    assert [r.date for r in load_source(spark, dated(tmp_path, "")).collect()] == [None]
