@@ -17,7 +17,8 @@ from saldero.operators.enrich import add_costs, with_position
 from saldero.operators.ranking import top_n, with_leader
 from saldero.operators.timeintel import moving_mean_7d, with_previous_month
 from saldero.operators.waterfall import INPUTS, waterfall
-from saldero.plans import jobs, marts, report, warehouse
+from saldero.plans import jobs, marts, page, report, warehouse
+from saldero.plans.id_index import id_index
 from saldero.plans.metrics import derive, evaluate, with_grand_total
 from saldero.session import scratch_path
 from saldero.sources.lake import (
@@ -28,10 +29,12 @@ from saldero.sources.lake import (
     MONTH_PARTITION,
     RAW_SALES,
     Lake,
+    drop_partitions,
     read_layer,
+    read_months,
     write_partitions,
 )
-from saldero.sources.sales import DATE_FORMATS, load_source
+from saldero.sources.sales import load_source
 
 from . import tables as t
 
@@ -248,6 +251,13 @@ def _lake(spark: SparkSession, purpose: str) -> Lake:
     return Lake(scratch_path(spark, purpose))
 
 
+def staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows as they are now, before what they are read from changes."""
+    path = f"{scratch_path(rows.sparkSession, purpose)}/rows"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _bounds(rows: DataFrame) -> tuple[dt.date, dt.date]:
     found = rows.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
     return found["first"], found["last"]
@@ -260,11 +270,10 @@ def _csv(spark, sf):
     return load_source(spark, path)
 
 
-@_query("S3_date_formats")
-def _date_formats(spark, sf):
+def _dated_loads(spark, sf, formats) -> DataFrame:
     """The orders as one CSV per date format, loaded and counted by day."""
     orders, loaded = t.source_sales(spark, sf), []
-    for number, date_format in enumerate(DATE_FORMATS):
+    for number, date_format in enumerate(formats):
         path = f"{scratch_path(spark, 'dates')}/source"
         text = F.date_format("Date", date_format).alias("Date")
         orders.withColumn("Date", text).write.option("header", "true").csv(path)
@@ -274,6 +283,17 @@ def _date_formats(spark, sf):
     )
 
 
+@_query("S3_date_formats")
+def _date_formats(spark, sf):
+    return _dated_loads(spark, sf, t.DATE_FORMATS)
+
+
+@_query("S3_date_shapes")
+def _date_shapes(spark, sf):
+    """Month names in full, dots, two-digit years, weekdays, clock times and offsets."""
+    return _dated_loads(spark, sf, t.DATE_SHAPES)
+
+
 @_query("Q7_price_type")
 def _price_type(spark, sf):
     """Prices with a letter behind the digits are text, and the type rule says so."""
@@ -375,6 +395,103 @@ def _month_refresh(spark, sf):
     return marts.sales_by_month(warehouse.open_tables(spark, lake)["ventas"])
 
 
+def _store_months(spark: SparkSession, lake: Lake, sold: DataFrame, months: list[dt.date]) -> None:
+    """The curated layer of some months, old days removed, with their monthly tables."""
+    path = lake.path(CURATED_SALES)
+    days = [m + dt.timedelta(days=n) for m in months for n in range(31)]
+    drop_partitions(spark, path, DAY_PARTITION, [str(d) for d in days if d.replace(day=1) in months])
+    write_partitions(sold.where(F.col("mes").isin(months)), path, DAY_PARTITION)
+    jobs.build_months(spark, months, lake)
+
+
+@_query("I6_mart_merge")
+def _mart_merge(spark, sf):
+    """Stored marts after merges of a changed month, a lost one and a late one."""
+    lake, sold = _lake(spark, "merge"), t.curated(spark, sf).withColumn(DAY_PARTITION, F.col("date"))
+    early = sold.where(F.col("mes") != t.LATE)
+    write_partitions(early, lake.path(CURATED_SALES), DAY_PARTITION)
+    jobs.build_months(spark, [r["mes"] for r in early.select("mes").distinct().collect()], lake)
+    warehouse.refresh_tables(spark, lake)
+    warehouse.merge_marts(spark, lake)
+    fewer = sold.where(F.col("company") != "BUILDING")
+    for month, rows in ((t.CHANGED, fewer), (t.LOST, sold.limit(0)), (t.LATE, sold)):
+        _store_months(spark, lake, rows, [month])
+        warehouse.refresh_months(spark, lake, [month])
+        warehouse.merge_marts(spark, lake)
+    return warehouse.open_stored_marts(spark, lake).kpi_mensual
+
+
+@_query("S17_snapshot_reads")
+def _snapshot_reads(spark, sf):
+    """The daily fact of two publications, the first one read after the second was made."""
+    lake, sold = _lake(spark, "snapshots"), t.curated(spark, sf)
+    tables = warehouse.mart_set(spark, lake)
+    warehouse.import_marts(spark, lake, marts.Marts.from_curated(sold))
+    first = tables.current()
+    fewer = sold.where(F.col("company") != "HOUSEHOLD")
+    warehouse.import_marts(spark, lake, marts.Marts.from_curated(fewer))
+    reads = [
+        tables.read("kpi_diario", v).drop("mes").withColumn("version", F.lit(v.number))
+        for v in (first, tables.current())
+    ]
+    return reads[0].union(reads[1])
+
+
+@_query("I5_fingerprints")
+def _fingerprints(spark, sf):
+    """Which days a second load changed, by the content of their rows, before and after curating."""
+    lake, first, last = _loaded_lake(spark, sf, "prints")
+    dearer = (F.month("date") == t.CHANGED.month) & (F.col("company") == "BUILDING")
+    price = F.when(dearer, F.col("price") + F.lit(1.0)).otherwise(F.col("price"))
+    jobs.backfill(t.sales(spark, sf).withColumn("price", price), first, last, lake)
+    before = staged(jobs.raw_states(spark, first, last, lake), "states")
+    jobs.curate_range(spark, first, last, lake)
+    after = jobs.raw_states(spark, first, last, lake).select("day", F.col("known").alias("known_after"))
+    return before.join(after, "day")
+
+
+@_query("Q10_swapped_rows")
+def _swapped(spark, sf):
+    """Days whose curated rows have been changed behind the back of the jobs, at equal counts."""
+    lake, first, last = _loaded_lake(spark, sf, "swapped")
+    month = read_months(spark, lake.path(CURATED_SALES), [t.CHANGED], jobs.CURATED_TYPES)
+    company = F.when(F.col("company") == "BUILDING", F.lit("FURNITURE")).otherwise(F.col("company"))
+    changed = staged(month.withColumn("company", company), "changed")
+    write_partitions(changed, lake.path(CURATED_SALES), DAY_PARTITION)
+    found = quality.issues_of(jobs.reconcile_days(spark, first, last, lake))
+    return found.select(F.col(DAY_PARTITION).alias("date"), "check", "detail", "n")
+
+
+@_query("Q6_across_days")
+def _across_days(spark, sf):
+    """Rows per day whose id was sold on another day before the last year, by the index of ids."""
+    named = t.orders_with_customer(spark, sf).select(
+        F.col("o_custkey").cast("string").alias("car_id"),
+        F.to_date("o_orderdate").alias("date"),
+        F.col("n_name").alias("dealer_name"),
+        F.col("r_name").alias("dealer_region"),
+        F.col("c_mktsegment").alias("company"),
+        F.col("o_orderpriority").alias("model"),
+        F.col("o_totalprice").alias("price"),
+    )
+    lake = _lake(spark, "ids")
+    history = named.where(F.col("date") < F.lit(t.DRIFT)).withColumn(DAY_PARTITION, F.col("date"))
+    write_partitions(history, lake.path(RAW_SALES), DAY_PARTITION)
+    months = [r[0] for r in history.select(F.trunc("date", "month")).distinct().collect()]
+    with id_index(spark, lake, buckets=8) as index:
+        index.refresh(months)
+        return staged(index.across_days(named.where(F.col("date") >= F.lit(t.DRIFT))), "across")
+
+
+@_query("S14_clustered")
+def _clustered(spark, sf):
+    """Typed sales of some dealers, from files that hold ranges of dealers."""
+    lake, _, _ = _loaded_lake(spark, sf, "clustered")
+    warehouse.refresh_tables(spark, lake)
+    sold = warehouse.open_tables(spark, lake)["ventas"]
+    return sold.where(F.col("dealer_name").isin(list(t.DEALER_SLICE.dealers)))
+
+
 @_query("I7_partial_failure")
 def _partial(spark, sf):
     """Raw rows per day after a backfill that stops at the first bad day."""
@@ -532,6 +649,18 @@ _report("R10_daily_trend_sliced", report.daily_trend, t.DEALER_SLICE)
 _report("R11_daily_detail", report.daily_detail, t.SLICE)
 
 
+def _page_visual(name: str, visual: str, selection) -> None:
+    _query(name)(lambda spark, sf: page.page(t.marts(spark, sf), selection)[visual])
+
+
+_page_visual("R_page_cards", "R1", t.SLICE)
+_page_visual("R_page_secondary", "R2", t.DEALER_SLICE)
+_page_visual("R_page_target", "R3", t.SLICE)
+_page_visual("R_page_margin", "R4", t.DEALER_SLICE)
+_page_visual("R_page_ranking", "R6", t.SLICE)
+_page_visual("R_page_matrix", "R8", t.DEALER_SLICE)
+
+
 def _stored_report(name: str, build: Callable, selection) -> None:
     def run(spark, sf):
         lake = _lake(spark, name)

@@ -204,3 +204,15 @@ DEALER_SLICE = Selection(
 )
 # The first day whose sales carry a region.
 DRIFT = dt.date(1998, 6, 13)
+# Months that the merged marts see change, lose all sales, and arrive late.
+CHANGED, LOST, LATE = dt.date(1996, 2, 1), dt.date(1997, 7, 1), dt.date(1998, 5, 1)
+# Forms in which the dates of a load may be written; the last ones are no plain formats.
+DATE_FORMATS = (
+    "yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "d/M/yyyy", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm",
+    "M/d/yyyy H:mm:ss", "yyyyMMdd", "yyyy-MM-dd'T'HH:mm:ss", "M/d/yy", "d MMM yyyy", "MMM d, yyyy",
+)
+DATE_SHAPES = (
+    "MMMM d, yyyy", "d MMMM yyyy", "d.M.yyyy", "yyyy.MM.dd", "dd-MM-yy", "d-MMM-yy",
+    "EEE, d MMM yyyy", "EEEE, MMMM d, yyyy", "M-d-yyyy h:mm a", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'",
+    "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "dd.MM.yyyy HH:mm:ss '-0500'",
+)
