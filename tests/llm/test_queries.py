@@ -27,7 +27,7 @@ def test_every_operator_is_registered():
 
     names = driver.queries()
     assert "pipeline" in names
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(n.startswith(f"op{number}_") for n in names) == 1
 
 
