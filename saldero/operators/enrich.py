@@ -60,17 +60,20 @@ def add_costs(sales: DataFrame, noise_key: str = "car_id") -> DataFrame:
     )
 
 
-def with_position(sales: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
+def with_position(
+    sales: DataFrame, order_by: Sequence[str], name: str = "position", folder: str | None = None
+) -> DataFrame:
     """Number the sales of each day from zero in the order of ``order_by``.
 
     For sources without ``car_id``: the position then serves as the noise key.
     Rows are range-partitioned and numbered where they are, so a day may spread
     over many tasks; equal rows, which are interchangeable, are told apart by
     their place in the source, so that they spread as well. Only the row count
-    of each (partition, day) is summed up. The sorted rows are checkpointed,
-    because both the counts and the numbers must come from one partitioning.
+    of each (partition, day) is summed up. The sorted rows are stored, because
+    both the counts and the numbers must come from one partitioning: in
+    ``folder``, which is the caller's to remove, or else as a checkpoint.
     """
-    ensure_checkpoint_dir(sales.sparkSession)
+    spark = sales.sparkSession
     serial = F.monotonically_increasing_id()
     ranked = (
         sales.withColumn("_place", F.xxhash64(serial))
@@ -78,8 +81,13 @@ def with_position(sales: DataFrame, order_by: Sequence[str], name: str = "positi
         .sortWithinPartitions("date", *order_by, "_place")
         .withColumn("_serial", serial)
         .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
     )
+    if folder is None:
+        ensure_checkpoint_dir(spark)
+        ranked = ranked.checkpoint()
+    else:
+        ranked.write.parquet(f"{folder}/rows")
+        ranked = spark.read.schema(ranked.schema).parquet(f"{folder}/rows")
     runs = ranked.groupBy("date", "_part").agg(
         F.min("_serial").alias("_first"), F.count(F.lit(1)).alias("_n")
     )

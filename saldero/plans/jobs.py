@@ -98,16 +98,20 @@ def _staged(rows: DataFrame) -> Iterator[DataFrame]:
         yield spark.read.schema(rows.schema).parquet(f"{folder}/rows")
 
 
-def _identified(sales: DataFrame) -> DataFrame:
+@contextmanager
+def _identified(sales: DataFrame) -> Iterator[DataFrame]:
     """Sales with an id; without one, the position inside the day serves.
 
     Positions follow the order of the sale's own columns, so that a repeated
-    run numbers the same rows alike.
+    run numbers the same rows alike. The numbered rows are kept for one job.
     """
     if "car_id" in sales.columns:
-        return sales
+        yield sales
+        return
     order = sorted(set(sales.columns) - {"date"})
-    return with_position(sales, order, "car_id").withColumn("car_id", F.col("car_id").cast("string"))
+    with scratch(sales.sparkSession, "positions") as folder:
+        placed = with_position(sales, order, "car_id", folder)
+        yield placed.withColumn("car_id", F.col("car_id").cast("string"))
 
 
 def _declared(rows: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -153,8 +157,10 @@ def load_good_days(
     sales: DataFrame, lake: Lake, limits: Limits = Limits()
 ) -> dict[dt.date, RulesBroken]:
     """Write the raw days that keep the rules, all in one job; what the other days broke."""
-    with _staged(sales.where(F.col("date").isNotNull())) as frozen:
-        dated = _identified(frozen)
+    with (
+        _staged(sales.where(F.col("date").isNotNull())) as frozen,
+        _identified(frozen) as dated,
+    ):
         verdict = _Verdict(raw_report(dated, by="date", limits=limits))
         good = verdict.good()
         if good:
@@ -174,11 +180,11 @@ def drop_days(spark: SparkSession, days: list[dt.date], lake: Lake) -> None:
 
 
 def _load(chosen: DataFrame, days: list[dt.date], lake: Lake, limits: Limits) -> DayCounts:
-    dated = _identified(chosen.where(F.col("date").isNotNull()))
-    verdict = _Verdict(raw_report(dated, by="date", limits=limits))
-    passed = verdict.passed()
-    if passed:
-        _write_raw(dated.where(F.col("date") <= F.lit(passed[-1])), lake)
+    with _identified(chosen.where(F.col("date").isNotNull())) as dated:
+        verdict = _Verdict(raw_report(dated, by="date", limits=limits))
+        passed = verdict.passed()
+        if passed:
+            _write_raw(dated.where(F.col("date") <= F.lit(passed[-1])), lake)
     verdict.raise_if_failed(f"raw {verdict.failed}")
     counts = DayCounts((day, verdict.rows.get(day, 0)) for day in days)
     counts.undated = chosen.where(F.col("date").isNull()).count()

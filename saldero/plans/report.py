@@ -73,11 +73,10 @@ def _by_sales(rows: DataFrame, *first: str) -> DataFrame:
     return rows.orderBy(*first, F.desc_nulls_last("ventas"), "dealer_name")
 
 
-def star_monthly(marts: Marts) -> DataFrame:
-    """Monthly fact beside its dealer and month attributes."""
-    return marts.kpi_mensual.join(marts.dim_concesionaria, "dealer_name", "left").join(
-        marts.dim_mes.withColumn("en_modelo", F.lit(True)), "mes", "left"
-    )
+def star_monthly(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
+    """Monthly fact beside its dealer attributes, months of the model only."""
+    placed = selection.monthly(marts).join(marts.dim_concesionaria, "dealer_name", "left")
+    return placed.join(marts.dim_mes, "mes")
 
 
 def star_daily(marts: Marts) -> DataFrame:
@@ -164,6 +163,16 @@ def dealer_matrix(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     return _by_sales(shown, "is_total")
 
 
+def region_matrix(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
+    """Detail per region, through the dealers' dimension, with a grand total."""
+    names = [
+        "num_ventas", "ventas", "utilidad_bruta", "ebitda", "utilidad_neta", "margen_bruto",
+        "margen_ebitda", "margen_neto", "cumplimiento", "brecha",
+    ]
+    table = with_grand_total(star_monthly(marts, selection), ["region"], names)
+    return table.orderBy("is_total", F.desc_nulls_last("ventas"), "region")
+
+
 def operations_cards(marts: Marts, selection: Selection = EVERYTHING) -> DataFrame:
     names = ["num_ventas", "ticket_promedio", "utilidad_bruta"]
     return evaluate(selection.monthly(marts), [], names)

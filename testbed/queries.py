@@ -535,7 +535,7 @@ def _by_dealer(spark, sf):
 @_query("A6_metrics_by_region")
 def _by_region(spark, sf):
     star = report.star_monthly(t.marts(spark, sf))
-    return evaluate(star.where("en_modelo"), ["region", "mes"], _AMOUNTS + _RATIOS)
+    return evaluate(star, ["region", "mes"], _AMOUNTS + _RATIOS)
 
 
 @_query("A7_daily_metrics")
@@ -643,6 +643,7 @@ _report("R6_ranking", report.dealer_ranking, t.SLICE)
 _report("R7_attainment_top10", report.attainment_of_top)
 _report("R8_dealer_matrix", report.dealer_matrix)
 _report("R8_dealer_matrix_sliced", report.dealer_matrix, t.DEALER_SLICE)
+_report("J2_region_matrix", report.region_matrix, t.SLICE)
 _report("R9_ops_cards", report.operations_cards, t.SLICE)
 _report("R10_daily_trend", report.daily_trend)
 _report("R10_daily_trend_sliced", report.daily_trend, t.DEALER_SLICE)
