@@ -127,7 +127,11 @@ def mark_copies(
     index = DigestIndex(df.sparkSession, index_path, buckets)
     for arrival in arrivals_by_id(hashed, arrivals):
         index.add(arrival)
-    return group_copies(hashed, index)
+    try:
+        return group_copies(hashed, index)
+    finally:
+        # the groups are stored, so the name is not needed any more
+        index.close()
 
 
 def drop_copies(
@@ -135,20 +139,33 @@ def drop_copies(
 ) -> DataFrame:
     """``df`` without the rows whose text another row keeps, also one of an earlier load.
 
-    Of rows that repeat both id and text any one stays.
+    Of rows that repeat both id and text any one stays. The texts are shuffled
+    once, to meet the ids and digests that stay; only rows that repeat both are
+    numbered. All columns stay as they are, whatever their names.
     """
     marked = mark_copies(df, index_path, id_col=id_col, text_col=text_col, **options)
-    owners = marked.where("kept").select(F.col("id").alias("owner"), "digest")
-    repeats = Window.partitionBy("owner", "digest").orderBy("owner")
-    held = df.select(
-        F.struct(*[F.col(c) for c in df.columns]).alias("row"),
-        F.col(id_col).cast("long").alias("owner_"),
-        F.sha2(text_or_empty(text_col), 256).alias("digest_"),
-    )
-    same = F.col("owner_").eqNullSafe(F.col("owner")) & (F.col("digest_") == F.col("digest"))
-    return (
-        held.join(owners, same)
-        .withColumn("nth", F.row_number().over(repeats))
-        .where("nth = 1")
-        .select("row.*")
+    owners = staged(marked.where("kept").select("id", "digest"), "owners")
+    twice = marked.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = staged(twice.join(owners.select("digest"), "digest", "left_semi"), "repeated")
+    # numbered names, so that no column of the table is in the way
+    names = [f"c{i}" for i in range(len(df.columns))]
+    held = df.toDF(*names).withColumns(
+        {
+            "id": F.col(names[df.columns.index(id_col)]).cast("long"),
+            "digest": F.sha2(text_or_empty(names[df.columns.index(text_col)]), 256),
+        }
     )
+
+    def among(rows: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
+        pairs = pairs.select(F.col("id").alias("other"), F.col("digest").alias("same"))
+        found = F.col("id").eqNullSafe(F.col("other")) & (F.col("digest") == F.col("same"))
+        return rows.join(pairs, found, how)
+
+    kept = among(held, owners, "left_semi").select(*names)
+    if not twice.isEmpty():
+        repeats = Window.partitionBy("id", "digest").orderBy("id")
+        numbered = among(among(held, owners, "left_semi"), twice, "left_semi")
+        one = numbered.withColumn("nth", F.row_number().over(repeats)).where("nth = 1")
+        rest = among(among(held, owners, "left_semi"), twice, "left_anti")
+        kept = rest.select(*names).union(one.select(*names))
+    return kept.toDF(*df.columns)

@@ -31,7 +31,7 @@ def quoted(name: str) -> str:
 
 
 def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(F.col(quoted(name)).cast("string"), F.lit(""))
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
@@ -45,7 +45,7 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def byte_slices(
-    batch: pa.RecordBatch, column: int | str, limit: int = 8 << 20
+    batch: pa.RecordBatch, column: int | str, limit: int = 2 << 20
 ) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch holding about ``limit`` bytes of text each.
 
@@ -58,6 +58,8 @@ def byte_slices(
     starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for begin, end in zip(starts, starts[1:], strict=False):
         yield batch.take(pa.array(np.arange(begin, end)))
+    # an idle worker would keep its peak into the next stage
+    pa.default_memory_pool().release_unused()
 
 
 def list_array(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:

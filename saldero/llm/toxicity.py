@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import byte_slices
+from .frames import byte_slices, quoted
 
 # Terms that name groups of people, by kind. Terms of one kind are
 # swapped for one another.
@@ -201,10 +201,11 @@ def score(
     text_col: str = "text",
     score_col: str = "score",
 ) -> DataFrame:
-    """The columns ``keep`` and the score of every row's whole text."""
-    names = [f"c{i}" for i in range(len(keep))]
-    row = F.struct(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)])
-    source = df.select(row.alias("row"), F.coalesce(text_col, F.lit("")).alias("text"))
+    """The columns ``keep`` and the score of every row's whole text.
+
+    Only the text goes to Python, and only the score comes back. A kept column
+    with the name of ``score_col`` gives way to the score.
+    """
     numbered = {w: i for i, w in enumerate(w for w in weights if w)}
     by_word = np.array([weights[w] for w in numbered], float)
     # an empty model has no opinion and rejects nothing
@@ -233,16 +234,13 @@ def score(
             total[owner] += by_word[w]
         return 1 / (1 + np.exp(-total))
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in byte_slices(batch, 1):
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(scores(rows.column(1)), pa.float64())],
-                    names=["row", "score"],
-                )
-
-    schema = source.select("row", F.lit(0.0).alias("score")).schema
-    return source.mapInArrow(scored, schema).select(
-        *[F.col(f"row.{n}").alias(c) for c, n in zip(keep, names, strict=True)],
-        F.col("score").alias(score_col),
-    )
+    @F.arrow_udf("double")
+    def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in columns:
+            batch = pa.record_batch([texts], names=["text"])
+            found = [scores(rows.column(0)) for rows in byte_slices(batch, 0)]
+            yield pa.array(np.concatenate([np.zeros(0), *found]), pa.float64())
+
+    text = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit(""))
+    kept = [F.col(quoted(c)) for c in keep if c.lower() != score_col.lower()]
+    return df.select(*kept, scored(text).alias(score_col))
