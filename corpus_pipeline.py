@@ -1,6 +1,10 @@
 """The corpus pipeline: documents in, packed training sequences out.
 
-Each stage reads what its predecessor stored and decides on all of it.
+Each stage reads what its predecessor stored and decides on all of it, and hands
+on every column of documents. Null texts count as empty, and empty ones are
+scored, deduplicated and packed like others. Of rows that repeat an id, exact
+copies of one text leave one row, and all rows of an id that is a near copy go.
+An empty table stays empty through all stages.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldero.llm import exact_index, near_duplicates, packing, toxicity
-from saldero.llm.frames import read_table
+from saldero.llm.frames import fresh, read_table
 from saldero.llm.queries import tokenizer_path
 from saldero.session import scratch_path
 
@@ -19,8 +23,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     weights = toxicity.learn(docs, labels, ~held_out)
-    scored = toxicity.score(docs, weights, keep=docs.columns, score_col="toxic_score_")
-    return scored.where(F.col("toxic_score_") < 0.5).select(docs.columns)
+    name = fresh(docs, "toxic_score")
+    scored = toxicity.score(docs, weights, keep=docs.columns, score_col=name)
+    return scored.where(F.col(name) < 0.5).drop(name)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
