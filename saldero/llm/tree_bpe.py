@@ -3,8 +3,8 @@
 Short texts are encoded in bulk. A long text is halved until its parts are
 short, without regard to words; the parts are encoded in parallel wherever
 Spark places them. The parts of one text then meet, and neighbours are joined
-up the tree. A join encodes again a window around the cut and widens it until
-its first word agrees with the left side and its last word with the right one:
+up the tree. A join encodes again a window of the text around the cut, where
+words stand apart or adjoin as they did, and widens it until its first word agrees with the left side and its last word with the right one:
 words are matched from left to right without looking back, so two matches that
 begin at one place go on alike. Inside one endless word the window consists of
 entries instead: a sequence of entries is the encoding if each pair of
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import WORD_END, Vocabulary, vocabulary
-from .frames import byte_slices, list_array
+from .frames import byte_slices, list_array, quoted
 
 _IDS = T.ArrayType(T.IntegerType())
 # A word from this length on is joined entry by entry.
@@ -93,13 +93,37 @@ def join_word(words: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndar
         width *= 2
 
 
-def join(words: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The encoding of two adjoining texts from the encodings of both."""
+def _before(text: str, cut: int, letters: str) -> int:
+    """Where the last ``letters`` before ``cut`` begin; what lies between words is passed over."""
+    for letter in reversed(letters):
+        cut -= 1
+        while text[cut] != letter:
+            cut -= 1
+    return cut
+
+
+def _behind(text: str, cut: int, letters: str) -> int:
+    """Where the first ``letters`` from ``cut`` on end."""
+    for letter in letters:
+        while text[cut] != letter:
+            cut += 1
+        cut += 1
+    return cut
+
+
+def join(
+    words: Vocabulary, text: str, cut: int, left: np.ndarray, right: np.ndarray
+) -> np.ndarray:
+    """The encoding of the parts of ``text`` on both sides of ``cut`` from the encodings of both.
+
+    Windows are taken from the text, where words stand as they did: what adjoins
+    in it may be one word, such as a contraction, though it was cut in between.
+    """
     if not len(left) or not len(right):
         return np.concatenate([left, right])
     begins, ends = _word_starts(words, left)[:-1], _word_starts(words, right)[1:]
     last, first = left[begins[-1] :], right[: ends[0]]
-    tail, head = _text(words, last), _text(words, first)
+    tail, head = _spelled(words, last), _spelled(words, first)
     # no contraction reaches into words of this length
     if min(len(tail), len(head)) > 8 and len(tail) + len(head) > _LONG_WORD:
         if _one_class(tail, head):
@@ -109,8 +133,10 @@ def join(words: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     while True:
         i, j = max(0, len(begins) - width), min(len(ends), width) - 1
         a, b = begins[i], ends[j]
-        text = _text(words, left[a:]) + _text(words, right[:b])
-        ids, _ = words.encode_texts(pa.array([text]), normalised=True)
+        window = text[
+            _before(text, cut, _spelled(words, left[a:])) : _behind(text, cut, _spelled(words, right[:b]))
+        ]
+        ids, _ = words.encode_texts(pa.array([window]), normalised=True)
         cuts = _word_starts(words, ids)
         next_word = begins[i + 1] if i + 1 < len(begins) else len(left)
         word_before = ends[j - 1] if j else 0
@@ -121,24 +147,32 @@ def join(words: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         width *= 2
 
 
-def _text(words: Vocabulary, ids: np.ndarray) -> str:
-    """The words of ids with blanks between them."""
-    return b"".join(words.bytes_of[int(i)] for i in ids).decode().removesuffix(" ")
+def _spelled(words: Vocabulary, ids: np.ndarray) -> str:
+    """The letters of the words of ids, with nothing between the words."""
+    return b"".join(words.bytes_of[int(i)] for i in ids).decode().replace(" ", "")
 
 
-def tree(words: Vocabulary, parts: list[np.ndarray]) -> np.ndarray:
+def tree(words: Vocabulary, texts: list[str], parts: list[np.ndarray]) -> np.ndarray:
     """Adjoining parts joined pair by pair up to one sequence."""
+    whole = "".join(texts)
+    ends = np.cumsum([len(t) for t in texts]).tolist()
     while len(parts) > 1:
-        pairs = [join(words, *parts[i : i + 2]) for i in range(0, len(parts) - 1, 2)]
-        parts = pairs + parts[2 * len(pairs) :]
+        pairs = [
+            join(words, whole, ends[i], *parts[i : i + 2]) for i in range(0, len(parts) - 1, 2)
+        ]
+        parts, ends = pairs + parts[2 * len(pairs) :], ends[1::2] + ends[2 * len(pairs) :]
     return parts[0]
 
 
-def joined(words: Vocabulary, glued: list[bool], parts: list[np.ndarray]) -> np.ndarray:
+def joined(
+    words: Vocabulary, glued: list[bool], texts: list[str], parts: list[np.ndarray]
+) -> np.ndarray:
     """The ids of a text from its parts: a tree for each run of glued ones."""
     runs = [i for i, g in enumerate(glued) if not g or not i]
     ends = [*runs[1:], len(parts)]
-    return np.concatenate([tree(words, parts[i:j]) for i, j in zip(runs, ends, strict=True)])
+    return np.concatenate(
+        [tree(words, texts[i:j], parts[i:j]) for i, j in zip(runs, ends, strict=True)]
+    )
 
 
 def encode(
@@ -150,10 +184,14 @@ def encode(
     ids_col: str = "token_ids",
     leaf_chars: int = 16_384,
 ) -> DataFrame:
-    """The columns ``keep`` and the token ids of every row's whole text."""
+    """The columns ``keep`` and the token ids of every row's whole text.
+
+    A kept column with the name of ``ids_col`` gives way.
+    """
+    keep = [c for c in keep if c.lower() != ids_col.lower()]
     names = [f"c{i}" for i in range(len(keep))]
-    row = F.struct(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)])
-    text = F.coalesce(text_col, F.lit(""))
+    row = F.struct(*[F.col(quoted(c)).alias(n) for c, n in zip(keep, names, strict=True)])
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     source = df.select(row.alias("row"), text.alias("text"))
     row_field = source.schema["row"]
     is_long = F.length("text") > leaf_chars
@@ -167,7 +205,9 @@ def encode(
     leaf = T.StructType(
         [*keyed_fields, T.StructField("text", T.StringType()), T.StructField("special", T.IntegerType())]
     )
-    part = T.StructType([*keyed_fields, T.StructField("ids", _IDS)])
+    part = T.StructType(
+        [*keyed_fields, T.StructField("text", T.StringType()), T.StructField("ids", _IDS)]
+    )
 
     def short_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(vocabulary_path)
@@ -209,7 +249,7 @@ def encode(
                     ids = np.concatenate(runs)
                     offsets = np.concatenate(([0], np.cumsum([len(r) for r in runs])))
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:4], list_array(ids, offsets, pa.int32())],
+                    [*rows.columns[:5], list_array(ids, offsets, pa.int32())],
                     names=[f.name for f in part.fields],
                 )
 
@@ -220,7 +260,7 @@ def encode(
                 parts = batch.column(1)[i].values
                 glued = parts.field("glued").to_pylist()
                 ids = [x.values.to_numpy() for x in parts.field("ids")]
-                whole = joined(words, glued, ids)
+                whole = joined(words, glued, parts.field("text").to_pylist(), ids)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, 1),
@@ -240,7 +280,7 @@ def encode(
         .groupBy("key")
         .agg(
             F.first("row").alias("row"),
-            F.sort_array(F.collect_list(F.struct("place", "glued", "ids"))).alias("parts"),
+            F.sort_array(F.collect_list(F.struct("place", "glued", "text", "ids"))).alias("parts"),
         )
         .select("row", "parts")
     )
@@ -260,8 +300,11 @@ def decode(
 ) -> DataFrame:
     """``df`` with the text of its ids, special tokens included.
 
-    A null list of ids gives the empty text; ids outside the vocabulary are an error.
+    A null list of ids gives the empty text; ids outside the vocabulary are an
+    error. A column with the name of ``decoded_col`` gives way.
     """
+    kept = [c for c in df.columns if c.lower() != decoded_col.lower()]
+    df = df.select(*[F.col(quoted(c)) for c in kept])
     schema = T.StructType([*df.schema.fields, T.StructField(decoded_col, T.StringType())])
     at = df.columns.index(ids_col)
 

@@ -64,14 +64,15 @@ def test_bulk_encoding_equals_the_library():
 
 def tree_encoded(text, leaf_chars):
     words = vocabulary(WORD)
-    glued, parts = [], []
+    glued, texts, parts = [], [], []
     for joined, part, special in tree_bpe.leaves(words, text, leaf_chars):
         ids = np.array([special], np.int32)
         if special < 0:
             ids, _ = words.encode_texts(pa.array([part]), normalised=True)
         glued.append(joined)
+        texts.append(part)
         parts.append(ids)
-    return tree_bpe.joined(words, glued, parts).tolist() if parts else []
+    return tree_bpe.joined(words, glued, texts, parts).tolist() if parts else []
 
 
 words_and_noise = st.lists(
@@ -103,7 +104,43 @@ def test_long_window_grows_to_the_whole_word():
     words = vocabulary(WORD)
     whole = "a" * 3000
     left, right = (words.encode_texts(pa.array([x]))[0] for x in (whole[:1501], whole[1501:]))
-    assert tree_bpe.join(words, left, right).tolist() == library(WORD, whole)
+    assert tree_bpe.join(words, whole, 1501, left, right).tolist() == library(WORD, whole)
+
+
+CONTRACTIONS = ["we'll", "they're", "I've", "it's", "isn't", "I'm", "he'd", "'ll", "a''ll", "x 'll"]
+
+
+@pytest.mark.parametrize("said", CONTRACTIONS)
+def test_every_cut_inside_a_contraction(said):
+    """Cut at every place, between words that adjoin and words that stand apart."""
+    words = vocabulary(WORD)
+    for text in (f"{said} you", f"do {said} you", f"one two three four {said}r you 'l l 're", f"{said}{said}"):
+        for cut in range(1, len(text)):
+            if text[cut - 1].isspace() or text[cut].isspace():
+                continue
+            normal = words.library.normalizer.normalize_str(text)
+            sides = [words.encode_texts(pa.array([x]), normalised=True)[0] for x in (normal[:cut], normal[cut:])]
+            assert tree_bpe.join(words, normal, cut, *sides).tolist() == library(WORD, text), (text, cut)
+
+
+@pytest.mark.parametrize("leaf_chars", [1, 2, 3, 5, 8, 13])
+@pytest.mark.parametrize("said", CONTRACTIONS)
+def test_contractions_at_several_leaf_sizes(said, leaf_chars):
+    for text in (f"{said} you " * 9, said * 7, f"so {said}, {said}; 'l l 're 'v e"):
+        assert tree_encoded(text, leaf_chars) == library(WORD, text)
+
+
+contracted = st.lists(
+    st.sampled_from([*CONTRACTIONS, "'", "l", "r", "e", "v", " ", "  ", "\n", "re", "ve", "ll", ".", "1"]),
+    min_size=1,
+    max_size=25,
+).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(contracted, st.integers(1, 7))
+def test_forced_cuts_in_contracted_texts(text, leaf_chars):
+    assert tree_encoded(text, leaf_chars) == library(WORD, text)
 
 
 def rows(spark, texts):
