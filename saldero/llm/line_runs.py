@@ -14,7 +14,7 @@ is given (``long_line``); without it a line repeated alone stays, however long.
 
 Order is by id, nulls first, then by position. Rows that repeat both id and
 text count as one document. Null and empty texts have no lines to lose. Extra
-columns are returned as they are.
+columns are returned as they are; one with the name of an added column gives way.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import staged, text_or_empty
+from .frames import quoted, staged, text_or_empty
 
 _DOCUMENT = ["k1", "k2"]
 
@@ -31,8 +31,8 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     """128 bits that name a document by its id and text."""
     text = text_or_empty(text_col)
     return [
-        F.xxhash64(F.col(id_col), text).alias("k1"),
-        F.xxhash64(F.lit(17), text, F.col(id_col)).alias("k2"),
+        F.xxhash64(F.col(quoted(id_col)), text).alias("k1"),
+        F.xxhash64(F.lit(17), text, F.col(quoted(id_col))).alias("k2"),
     ]
 
 
@@ -50,7 +50,7 @@ def lines_of(
         df.where(text != "")
         .select(
             *_key(id_col, text_col),
-            F.col(id_col).alias("id"),
+            F.col(quoted(id_col)).alias("id"),
             F.posexplode(F.split(text, "\n")).alias("pos", "line"),
         )
         .select(
@@ -145,9 +145,19 @@ def remove_repeated_runs(
             F.max("length").alias("longest_repeat"),
             F.array_distinct(F.flatten(F.collect_list("marks"))).alias("removed"),
         )
-    own = [F.col(f"row.{c}").alias(c) for c in df.columns]
-    rows = df.select(F.struct(*df.columns).alias("row"), *_key(id_col, text_col))
-    text = F.coalesce(F.col(f"row.{text_col}").cast("string"), F.lit(""))
+    # numbered names, so that no column of the table is in the way
+    names = [f"c{i}" for i in range(len(df.columns))]
+    added = {kept_col.lower(), "n_lines", "n_removed", "longest_repeat"}
+    own = [
+        F.col(f"row.{n}").alias(c)
+        for n, c in zip(names, df.columns, strict=True)
+        if c.lower() not in added
+    ]
+    key = _key(id_col, text_col)
+    rows = df.select(*key, F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"))
+    kinds = ", ".join(f"{n}: {f.dataType.simpleString()}" for n, f in zip(names, df.schema, strict=True))
+    rows = rows.withColumn("row", F.col("row").cast(f"struct<{kinds}>"))
+    text = F.coalesce(F.col(f"row.{names[df.columns.index(text_col)]}").cast("string"), F.lit(""))
     gone = F.coalesce("removed", F.array().cast("array<int>"))
     lines = F.split(text, "\n")
     left = F.filter(lines, lambda _, i: ~F.array_contains(F.col("gone"), i))

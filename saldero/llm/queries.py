@@ -45,9 +45,13 @@ def op1_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Characters from which on a line repeated alone counts as a run.
+LONG_LINE = 100
+
+
 def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_runs.remove_repeated_runs(documents).select(
+    return line_runs.remove_repeated_runs(documents, long_line=LONG_LINE).select(
         "doc_id",
         "n_lines",
         "n_removed",
@@ -191,7 +195,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _op2_sql(levels: int = 12) -> str:
-    """Runs of two lines removed; the longest repeats by windows of doubling length."""
+    """Runs of two lines and long single ones removed; the longest repeats by windows of doubling length."""
     doubled = "".join(
         f""", s{2 * n} AS (
     SELECT doc_id, pos, dense_rank() OVER (ORDER BY r, onward) AS r FROM (
@@ -201,21 +205,27 @@ def _op2_sql(levels: int = 12) -> str:
         for n in (2**k for k in range(levels))
     )
     shared = " UNION ALL ".join(
-        f"SELECT doc_id, {n} AS length, count(*) OVER (PARTITION BY r) AS copies FROM s{n}"
+        f"SELECT doc_id, {n} AS length, count(*) OVER (PARTITION BY r) AS copies, true AS counts FROM s{n}"
         for n in (2**k for k in range(1, levels + 1))
     )
+    shared += " UNION ALL SELECT doc_id, 1, count(*) OVER (PARTITION BY r), long FROM s1"
     return f"""
 WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
            generate_subscripts(string_split(text, chr(10)), 1) AS pos
     FROM documents WHERE coalesce(text, '') <> ''
-), s1 AS (SELECT doc_id, pos, dense_rank() OVER (ORDER BY line) AS r FROM lines){doubled}
+), s1 AS (
+    SELECT doc_id, pos, length(line) >= {LONG_LINE} AS long, dense_rank() OVER (ORDER BY line) AS r FROM lines
+){doubled}
 , longest AS (
-    SELECT doc_id, max(length) AS longest_repeat FROM ({shared}) WHERE copies > 1 GROUP BY doc_id
+    SELECT doc_id, max(length) AS longest_repeat FROM ({shared}) WHERE copies > 1 AND counts GROUP BY doc_id
 ), later AS (
     SELECT doc_id, pos, row_number() OVER (PARTITION BY r ORDER BY doc_id, pos) AS nth FROM s2
+), later_lines AS (
+    SELECT doc_id, pos, long, row_number() OVER (PARTITION BY r ORDER BY doc_id, pos) AS nth FROM s1
 ), gone AS (
-    SELECT DISTINCT doc_id, pos + d AS pos FROM later, (VALUES (0), (1)) AS steps(d) WHERE nth > 1
+    SELECT doc_id, pos + d AS pos FROM later, (VALUES (0), (1)) AS steps(d) WHERE nth > 1
+    UNION SELECT doc_id, pos FROM later_lines WHERE long AND nth > 1
 ), left_over AS (
     SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
            string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL) AS kept
