@@ -304,9 +304,10 @@ def decode(
     error. A column with the name of ``decoded_col`` gives way.
     """
     kept = [c for c in df.columns if c.lower() != decoded_col.lower()]
-    df = df.select(*[F.col(quoted(c)) for c in kept])
-    schema = T.StructType([*df.schema.fields, T.StructField(decoded_col, T.StringType())])
-    at = df.columns.index(ids_col)
+    # numbered names, because a name with a dot is no reference for a map over batches
+    plain = df.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(kept)])
+    schema = T.StructType([*plain.schema.fields, T.StructField("text", T.StringType())])
+    at = kept.index(ids_col)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(vocabulary_path)
@@ -322,4 +323,4 @@ def decode(
                     names=[f.name for f in schema.fields],
                 )
 
-    return df.mapInArrow(texts, schema)
+    return plain.mapInArrow(texts, schema).toDF(*kept, decoded_col)

@@ -1,0 +1,78 @@
+"""Extra columns whose names clash with those of the operators, or have dots."""
+
+import pytest
+
+import corpus_pipeline
+from saldero.llm import exact_index, line_runs, near_duplicates, packing, token_counts, toxicity, tree_bpe
+from saldero.llm.queries import tokenizer_path
+from saldero.session import scratch_path
+
+WORD, BYTE = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
+TEXTS = ["one line\nand two", "one line\nand two", "bad words here", None, ""]
+EXTRA = {
+    "a.b": "dot", "n_lines": "n", "decoded": "d", "score": "s", "digest": "x", "row": "r", "id": "i",
+    "token_ids": "t", "kept": "k", "length": "l", "nth": "9", "toxic_score": "p",
+}
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    names = ["doc_id", "text", *EXTRA]
+    schema = ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names)
+    return spark.createDataFrame([(i, t, *EXTRA.values()) for i, t in enumerate(TEXTS)], schema)
+
+
+def encode_and_decode(df):
+    encoded = tree_bpe.encode(df, WORD, keep=df.columns, leaf_chars=4)
+    return tree_bpe.decode(encoded, WORD)
+
+
+def without_copies(df):
+    return exact_index.drop_copies(df, scratch_path(df.sparkSession, "index"))
+
+
+def scored(df):
+    return toxicity.score(df, {"": -1.0, "bad": 5.0}, keep=df.columns)
+
+
+OPERATORS = {
+    "encode and decode": (encode_and_decode, {"token_ids", "decoded"}, 5),
+    "line runs": (line_runs.remove_repeated_runs, {"n_lines", "kept_text", "n_removed", "longest_repeat"}, 5),
+    "exact copies": (without_copies, set(), 3),
+    "toxicity": (scored, {"score"}, 5),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_extra_columns_stay_unless_an_added_one_has_their_name(docs, name):
+    run, added, rows = OPERATORS[name]
+    found = run(docs)
+    assert len(set(found.columns)) == len(found.columns)
+    assert set(found.columns) == {*docs.columns, *added}
+    got = found.collect()
+    assert len(got) == rows
+    for row in got:
+        assert all(row[c] == v for c, v in EXTRA.items() if c not in added)
+        assert row["text"] == TEXTS[row["doc_id"]]
+
+
+@pytest.mark.parametrize(
+    "run",
+    [
+        near_duplicates.near_duplicates,
+        lambda df: packing.pack_documents(df, WORD),
+        lambda df: token_counts.count_tokens(df, BYTE),
+        lambda df: exact_index.mark_copies(df, scratch_path(df.sparkSession, "index")),
+    ],
+    ids=["near copies", "packing", "token counts", "marked copies"],
+)
+def test_extra_columns_are_not_read(docs, run):
+    assert sorted(map(str, run(docs).drop("row").collect())) == sorted(
+        map(str, run(docs.select("doc_id", "text")).drop("row").collect())
+    )
+
+
+def test_stages_hand_on_every_column(spark, docs):
+    for stage, rows in ((corpus_pipeline.drop_exact_copies, 3), (corpus_pipeline.drop_near_copies, 4)):
+        found = stage(spark, docs, "")
+        assert found.columns == docs.columns and found.count() == rows
