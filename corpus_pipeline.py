@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldero.llm import exact_index, near_duplicates, packing, toxicity
-from saldero.llm.frames import fresh, read_table
+from saldero.llm.frames import fresh, quoted, read_table
 from saldero.llm.queries import tokenizer_path
 from saldero.session import scratch_path
 
@@ -37,7 +37,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each near-duplicate group: the one with the smallest id."""
     groups = near_duplicates.near_duplicates(docs)
     dropped = groups.where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    return kept.select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
