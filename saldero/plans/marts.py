@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_attributes, month_label, month_start
@@ -57,12 +57,11 @@ def dim_dealer(sold: DataFrame, region: str = "dealer_region") -> DataFrame:
     """One region per dealer; the smallest, so that every run answers the same.
 
     The sales are hashed down to pairs first: the minimum of a text has no hash
-    aggregate and would sort them all.
+    aggregate and would sort them all. A dealer has no more regions than there are.
     """
     pairs = sold.select("dealer_name", F.col(region).alias("region")).distinct()
-    smallest = Window.partitionBy("dealer_name").orderBy(F.col("region").asc_nulls_last())
-    first = pairs.withColumn("_place", F.row_number().over(smallest)).where("_place = 1")
-    return first.drop("_place")
+    smallest = F.array_min(F.collect_set("region"))
+    return pairs.groupBy("dealer_name").agg(smallest.alias("region"))
 
 
 def dim_date(sold: DataFrame, first: str = "fecha", last: str = "fecha") -> DataFrame:
