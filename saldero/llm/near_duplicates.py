@@ -1,12 +1,12 @@
 """Near duplicates by MinHash bands, sequential Bayesian pruning and exact sets.
 
 Documents with one shingle set are one node. Nodes that share a band of their
-signatures are candidates. Shingles that very many nodes hold, found in a sample
-of the documents, say little: bands are taken from the other shingles, so that
-a passage in thousands of documents makes no candidates of them. How alike
+signatures are candidates. Shingles that very many nodes hold, counted over all
+documents, say little: bands are taken from the other shingles, so that a
+passage in thousands of documents makes no candidates of them. How alike
 those others must be follows from the share of frequent shingles, and with it
 the number of rows in a band; documents made up of frequent shingles are banded
-whole. The sample only guides the search: links are decided on whole sets.
+whole. The counts only guide the search: links are decided on whole sets.
 
 First every member of a bucket meets the smallest
 node of the bucket, so a bucket costs as many pairs as it has members. Only
@@ -52,6 +52,9 @@ from .graph import components
 
 # Bits of the filter on asked ids.
 _PLACES = 2**20
+# Hashes that a task packs at once, and low bits of their upper halves that share one place.
+_PACKED = 2**21
+_UNPLACED = 6
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,8 +72,8 @@ class Banding:
 class Settings:
     """Threshold as a fraction of whole percents, and the shape of the search.
 
-    A shingle is frequent if at least ``frequent`` distinct sets of a sample,
-    one document in ``sampled``, hold it; at most ``most_frequent`` are known.
+    A shingle is frequent if at least ``frequent * sampled`` distinct sets hold
+    it, counted over all documents; the ``most_frequent`` of them are known.
     The ranges overlap, because linked documents may differ in their shares: at
     a similarity of 0.75 one of more than a half is linked with 1/3 at the least,
     reached where the one adds only frequent shingles to the other.
@@ -204,27 +207,99 @@ def _hash_lists(rows: pa.RecordBatch, settings: Settings) -> tuple[list[np.ndarr
     return sets, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
+def _packed(sets: list[np.ndarray], least: int) -> pa.RecordBatch:
+    """(bucket, low): the upper halves of all hashes, by their first 16 bits.
+
+    No value comes more than ``least`` times, so a shingle in all documents
+    costs a task no more than one in ``least`` of them.
+    """
+    values = np.sort(np.concatenate(sets))
+    keep = np.ones(len(values), bool)
+    keep[least:] = values[least:] != values[:-least]
+    values = values[keep]
+    bounds = np.searchsorted(values, np.arange(2**16 + 1, dtype=np.uint64) << np.uint64(16))
+    buckets = np.flatnonzero(np.diff(bounds))
+    ends = np.concatenate(([0], bounds[buckets + 1])) * 2
+    low = pa.py_buffer(values.astype("<u2").tobytes())
+    offsets = pa.py_buffer(ends.astype(np.int32).tobytes())
+    packed = pa.Array.from_buffers(pa.binary(), len(buckets), [None, offsets, low])
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), packed], names=["bucket", "low"])
+
+
+def _shared_places(texts: DataFrame, settings: Settings, least: int) -> np.ndarray:
+    """One bit for each place of a hash, set where its shingle may be in ``least`` documents.
+
+    The upper halves of the hashes of all documents are counted exactly, two
+    bytes for each. A count holds copies and other shingles with the same upper
+    half as well, so it is never too small.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+        for batch in batches:
+            for rows in byte_slices(batch, 1):
+                for hashes in shingle_sets(rows.column(1), settings.words):
+                    waiting.append((hashes >> np.uint64(32)).astype(np.uint32))
+                    n += len(hashes)
+                if n >= _PACKED:
+                    yield _packed(waiting, least)
+                    waiting, n = [], 0
+        if n:
+            yield _packed(waiting, least)
+
+    def to_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets, bits = [], []
+            for bucket, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = np.bincount(np.frombuffer(b"".join(parts), "<u2"), minlength=2**16)
+                shared = (n >= least).reshape(-1, 2**_UNPLACED).any(axis=1)
+                if shared.any():
+                    buckets.append(bucket)
+                    bits.append(np.packbits(shared).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets, pa.int32()), pa.array(bits, pa.binary())], names=["bucket", "bits"]
+            )
+
+    packed = texts.mapInArrow(pack, "bucket int, low binary")
+    gathered = packed.groupBy("bucket").agg(F.collect_list("low").alias("low"))
+    places = np.zeros((2**16, 2 ** (16 - _UNPLACED) // 8), np.uint8)
+    # a fixed number of bits, whatever the input
+    for row in gathered.mapInArrow(to_bits, "bucket int, bits binary").collect():
+        places[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
+    return places.reshape(-1)
+
+
 def frequent_shingles(texts: DataFrame, settings: Settings) -> np.ndarray:
-    """Hashes of the shingles that many distinct sets of a sample of the documents hold."""
-    chosen = F.pmod(F.xxhash64(F.lit(settings.seed), F.col("id")), F.lit(settings.sampled)) == 0
+    """Hashes of the shingles that many distinct sets hold, counted over all documents."""
+    least = settings.frequent * settings.sampled
+    places = _shared_places(texts, settings, least)
+    if not places.any():
+        return np.zeros(0, np.uint64)
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in byte_slices(batch, 1):
-                sets, lists = _hash_lists(rows, settings)
-                digests = [xxhash.xxh3_64_intdigest(s.data, settings.seed) >> 1 for s in sets]
+                digests, shared = [], []
+                for hashes in shingle_sets(rows.column(1), settings.words):
+                    place = (hashes >> np.uint64(32 + _UNPLACED)).astype(np.int64)
+                    known = (places[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1
+                    digests.append(xxhash.xxh3_64_intdigest(hashes.data, settings.seed) >> 1)
+                    shared.append(hashes[known.astype(bool)].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests, pa.int64()), lists], names=["digest", "hashes"]
+                    [
+                        pa.array(np.repeat(digests, list(map(len, shared))), pa.int64()),
+                        pa.array(np.concatenate(shared), pa.int64()),
+                    ],
+                    names=["digest", "shingle"],
                 )
 
-    held = texts.where(chosen).mapInArrow(to_sets, "digest long, hashes array<long>")
     # copies count once
     counted = (
-        held.select("digest", F.explode("hashes").alias("shingle"))
+        texts.mapInArrow(to_sets, "digest long, shingle long")
         .distinct()
         .groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= settings.frequent)
+        .where(F.col("n") >= least)
         .orderBy(F.desc("n"), "shingle")
         .limit(settings.most_frequent)
     )

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -287,3 +288,20 @@ def test_families_of_frequent_shingles_equal_brute_force(spark):
     expected = components_by_hand(rows)
     assert {r["doc_id"]: r["component_id"] for r in found} == expected
     assert 1 < len(set(expected.values())) < 160
+
+
+def test_frequent_shingles_are_counted_over_all_documents(spark):
+    """Exactly the shingles that enough distinct sets hold, however many copies a set has."""
+    passages = {held: [f"held{held}w{k}" for k in range(12)] for held in (1, 5, 6, 7, 40)}
+    texts = [
+        " ".join([*words, *(f"own{held}x{n}y{k}" for k in range(6))])
+        for held, words in passages.items()
+        for n in range(held)
+    ]
+    texts += [" ".join(f"copied{k}" for k in range(9))] * 50 + ["", None, "held6w0 held6w1"]
+    texts = [(n, t) for n, t in enumerate(texts)]
+    settings = near_duplicates.Settings(frequent=2, sampled=3)
+    rows = spark.createDataFrame(texts, "id long, text string").repartition(5)
+    held = [" ".join(passages[n]) for n in (6, 7, 40)]
+    expected = np.sort(np.concatenate(near_duplicates.shingle_sets(pa.array(held), 5)))
+    assert near_duplicates.frequent_shingles(rows, settings).tolist() == expected.tolist()
