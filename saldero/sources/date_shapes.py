@@ -2,6 +2,7 @@
 
 One pass replaces digits, month names and the like by codes and counts the
 shapes that are left, with the dates that each order of the fields would give.
+Callers may hand in each text once with the number of its rows.
 The shape tells which field is the year or a month's name; where two orders of
 year, month and day remain, the values decide: an order stays only if every
 date of the load is one under it. A load that still fits two orders is
@@ -102,11 +103,8 @@ class DateReading:
 
 
 def _month_number(word: Column) -> Column:
-    short = F.lower(F.substring(word, 1, 3))
-    number = F.lit(None).cast("string")
-    for place, name in enumerate(_MONTHS, start=1):
-        number = F.when(short == name[:3], F.lit(str(place))).otherwise(number)
-    return F.coalesce(number, F.lit(""))
+    numbers = [F.lit(x) for n, name in enumerate(_MONTHS, start=1) for x in (name[:3], str(n))]
+    return F.coalesce(F.try_element_at(F.create_map(*numbers), F.lower(F.substring(word, 1, 3))), F.lit(""))
 
 
 def shape(text: Column) -> Column:
@@ -129,13 +127,18 @@ def _candidates(found: str) -> list[DateReading]:
     return [DateReading(codes, gaps, order) for order in _ORDERS.get(codes, ())]
 
 
-def shapes_of(text: DataFrame, column: str = "date") -> list[Row]:
-    """(shape, n, example) of the non-null texts, the most frequent first, a bounded number."""
-    filled = text.where(F.col(column).isNotNull()).select(F.col(column).alias("text"))
-    counted = filled.groupBy(shape(F.col("text")).alias("shape")).agg(
-        F.count(F.lit(1)).alias("n"), F.first("text").alias("example")
+def shapes_of(text: DataFrame, column: str = "date", counted: str | None = None) -> list[Row]:
+    """(shape, n, example) of the non-null texts, the most frequent first, a bounded number.
+
+    ``counted`` names a column that tells how many rows a row stands for.
+    """
+    filled = text.where(F.col(column).isNotNull()).select(
+        F.col(column).alias("text"), (F.lit(1) if counted is None else F.col(counted)).alias("rows")
+    )
+    grouped = filled.groupBy(shape(F.col("text")).alias("shape")).agg(
+        F.sum("rows").alias("n"), F.first("text").alias("example")
     )
-    return counted.orderBy(F.desc("n"), "shape").limit(MOST_SHAPES + 1).collect()
+    return grouped.orderBy(F.desc("n"), "shape").limit(MOST_SHAPES + 1).collect()
 
 
 def _listed(shapes: list[Row]) -> str:
@@ -157,11 +160,14 @@ def common_readings(shapes: list[Row]) -> list[DateReading]:
     return common
 
 
-def unread(readings: list[DateReading], column: str = "date") -> list[Column]:
+def unread(
+    readings: list[DateReading], column: str = "date", counted: str | None = None
+) -> list[Column]:
     """For each reading an aggregate that counts the texts which are no dates under it."""
     text = F.col(column)
+    rows = F.lit(1) if counted is None else F.col(counted)
     return [
-        F.count_if(text.isNotNull() & r.parse(text).isNull()).alias(f"unread_{i}")
+        F.coalesce(F.sum(F.when(text.isNotNull() & r.parse(text).isNull(), rows)), F.lit(0)).alias(f"unread_{i}")
         for i, r in enumerate(readings)
     ]
 

@@ -1,15 +1,16 @@
 """Sales sources: delimited files or any DataFrame, brought to one contract.
 
-``load_source`` makes two narrow passes to learn what a typed reader needs (the
-shapes of the dates, then the order of their fields and whether prices and
-identifiers are numeric). A caller who knows these facts passes a
-``SourceProfile`` and saves both.
+``load_source`` makes one narrow pass to learn what a typed reader needs (the
+texts of the dates, for their shapes and the order of their fields, and whether
+prices and identifiers are numeric). A caller who knows these facts passes a
+``SourceProfile`` and saves it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,23 +150,30 @@ def _price() -> Column:
 def profile_source(text: DataFrame, *, refuse_ambiguous: bool = False) -> SourceProfile:
     """What the date, price and id columns of an all-text frame are.
 
-    A pass over the dates finds their shapes; a second one tests the orders of
-    fields that these allow, prices and ids. A load whose dates fit month first
-    and day first alike is read month first, unless it is to be refused.
+    One pass over the rows tests prices and ids by text of the date and keeps
+    these counts. The shapes of the dates and then the orders of fields that they
+    allow are found from each text once. A load whose dates fit month first and
+    day first alike is read month first, unless it is to be refused.
     """
-    shapes = shapes_of(text)
-    readings = common_readings(shapes)
     has_id = "car_id" in text.columns
-    tests = unread(readings)
-    tests.append(
-        F.count_if(F.col("price").isNotNull() & _price().isNull()).alias("bad_price")
-    )
+    tests = [
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("price").isNotNull() & _price().isNull()).alias("bad_price"),
+    ]
     if has_id:
         car_id = F.col("car_id")
         tests.append(
             F.count_if(car_id.isNull() | car_id.try_cast("bigint").isNull()).alias("text_ids")
         )
-    found = text.agg(*tests).first()
+    # one row per text of a date, read by both looks at them
+    dates = text.groupBy("date").agg(*tests).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        shapes = shapes_of(dates, counted="n")
+        readings = common_readings(shapes)
+        sums = [F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in ("bad_price", "text_ids")[: 1 + has_id]]
+        found = dates.agg(*unread(readings, counted="n"), *sums).first()
+    finally:
+        dates.unpersist()
     return SourceProfile(
         date_format=choose(readings, found, shapes, refuse_ambiguous),
         numeric_price=found["bad_price"] == 0,

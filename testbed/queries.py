@@ -272,7 +272,8 @@ def _csv(spark, sf):
 
 def _dated_loads(spark, sf, formats) -> DataFrame:
     """The orders as one CSV per date format, loaded and counted by day."""
-    orders, loaded = t.source_sales(spark, sf), []
+    # joined once, written in each format
+    orders, loaded = staged(t.source_sales(spark, sf), "orders"), []
     for number, date_format in enumerate(formats):
         path = f"{scratch_path(spark, 'dates')}/source"
         text = F.date_format("Date", date_format).alias("Date")

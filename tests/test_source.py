@@ -11,6 +11,7 @@ from saldero.sources.sales import (
     choose_csv,
     load_source,
     prepare_sales,
+    profile_source,
 )
 
 
@@ -212,3 +213,23 @@ def test_very_many_shapes_are_refused_without_collecting_them(spark, tmp_path):
 
 def test_a_load_without_dates_has_none(spark, tmp_path):
     assert [r.date for r in load_source(spark, dated(tmp_path, "")).collect()] == [None]
+
+
+def test_a_profile_reads_its_rows_once(spark):
+    """Shapes and orders are found from each text of a date, with the number of its rows."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(f"{1 + n % 12}/{1 + n % 28}/2022", "1.5" if n % 3 else "x", str(n)) for n in range(300)]
+    rows += [(None, None, "7")]
+    text = spark.createDataFrame(rows, "date string, price string, car_id string")
+    found = profile_source(text.mapInArrow(counted, text.schema))
+    assert (found.date_format.order, found.numeric_price, found.integer_ids) == ("mdy", False, True)
+    assert read.value == len(rows)
+    wrong = text.where("date IS NOT NULL").withColumn("date", F.lit("1/2/x"))
+    with pytest.raises(SourceError, match=r"\(300, as in"):
+        profile_source(wrong)
