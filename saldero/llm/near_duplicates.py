@@ -11,10 +11,12 @@ whole. The counts only guide the search: links are decided on whole sets.
 First every member of a bucket meets the smallest
 node of the bucket, so a bucket costs as many pairs as it has members. Only
 members of one bucket that are still in different components then meet each
-other: a pair inside a component could add nothing. Buckets of rare shingles
-are small. Documents made up of frequent shingles can come in large families
+other: a pair inside a component could add nothing. Documents made up of frequent shingles can come in large families
 that almost reach the threshold; a family is cut into blocks, and each task
 compares two blocks and returns no more links than join their components.
+Members of one family have all been compared there and do not meet in other
+buckets. A bucket of one rare shingle has fewer members than make a shingle
+frequent, as long as no more than ``most_frequent`` are.
 
 A pair's signatures are compared batch by batch. After each batch the pair is
 dropped when the posterior probability of a similarity at or above the
@@ -76,7 +78,11 @@ class Settings:
     it, counted over all documents; the ``most_frequent`` of them are known.
     The ranges overlap, because linked documents may differ in their shares: at
     a similarity of 0.75 one of more than a half is linked with 1/3 at the least,
-    reached where the one adds only frequent shingles to the other.
+    reached where the one adds only frequent shingles to the other, and one of
+    more than 0.7 with 0.525, reached where the one drops only rare ones. Single
+    rows make many candidates, so only pairs that need them have them: where
+    both shares are 0.7 or less, at least 0.355 of the rare shingles are common
+    and bands of two rows miss a pair with probability 1e-7.
     """
 
     words: int = 5
@@ -84,7 +90,8 @@ class Settings:
     hashes: int = 240
     banding: tuple[Banding, ...] = (
         Banding(0.0, 0.5, bands=60, rows=3),
-        Banding(0.33, 1.0, bands=240, rows=1),
+        Banding(0.33, 0.7, bands=120, rows=2),
+        Banding(0.52, 1.0, bands=240, rows=1),
     )
     whole: Banding = Banding(0.7, 1.0, bands=48, rows=5)
     block: int = 4096
@@ -416,22 +423,44 @@ def _buckets(nodes: DataFrame, keys: str) -> DataFrame:
     return staged(bands.join(heads, "key"), "buckets")
 
 
-def _across(buckets: DataFrame, roots: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components that have not met yet."""
+def _families(buckets: DataFrame) -> DataFrame:
+    """(node, family) of the nodes that share a band of whole sets, directly or through others."""
+    chain = buckets.where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v"))
+    others = components(chain)
+    heads = others.select(F.col("v").alias("u"), "v").distinct()
+    return others.union(heads).select(F.col("u").alias("node"), F.col("v").alias("family"))
+
+
+def _across(
+    buckets: DataFrame, roots: DataFrame, families: DataFrame, tried: DataFrame
+) -> DataFrame:
+    """Pairs of one bucket and different components that have not met yet.
+
+    Members of one family are left to the comparison of that family.
+    """
     known = roots.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    placed = buckets.join(known, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root")
+    placed = (
+        buckets.join(known, "node", "left")
+        .join(families, "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
+        .withColumns({"alone": F.col("family").isNull(), "home": F.coalesce("family", "root")})
+        .select("key", "node", "root", "home", "alone")
     )
-    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    placed = staged(placed.join(mixed.where("x < y").select("key"), "key"), "mixed")
-    sides = placed.select("key", "root").distinct()
-    left = sides.withColumnRenamed("root", "x")
-    meetings = left.join(sides.withColumnRenamed("root", "y"), "key").where("x < y")
-    members = [
-        placed.select("key", F.col("root").alias(r), F.col("node").alias(n))
-        for r, n in (("x", "p"), ("y", "q"))
-    ]
-    pairs = meetings.join(members[0], ["key", "x"]).join(members[1], ["key", "y"])
+    mixed = placed.groupBy("key").agg(
+        F.min("root").alias("x"),
+        F.max("root").alias("y"),
+        (F.bool_or("alone") | (F.min("home") < F.max("home"))).alias("open"),
+    )
+    placed = staged(placed.join(mixed.where("x < y AND open").select("key"), "key"), "mixed")
+    # a component may have members in several families and in none
+    side = ("root", "home", "alone")
+    sides = placed.select("key", *side).distinct()
+    left, right = (sides.select("key", *[F.col(c).alias(f"{c}_{s}") for c in side]) for s in "pq")
+    apart = "root_p < root_q AND (home_p <> home_q OR alone_p OR alone_q)"
+    pairs = left.join(right, "key").where(apart)
+    for s in "pq":
+        members = placed.select("key", *[F.col(c).alias(f"{c}_{s}") for c in side], F.col("node").alias(s))
+        pairs = pairs.join(members, ["key", *[f"{c}_{s}" for c in side]])
     ordered = pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
     return staged(ordered.join(tried, ["a", "b"], "left_anti"), "across")
 
@@ -474,18 +503,12 @@ def _meet(
 
 
 def _family_links(
-    nodes: DataFrame, buckets: DataFrame, roots: DataFrame, texts: DataFrame, settings: Settings
+    nodes: DataFrame, families: DataFrame, roots: DataFrame, texts: DataFrame, settings: Settings
 ) -> DataFrame | None:
-    """Links (u, v) that join components inside families, which share bands of whole sets."""
-    chain = buckets.where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v"))
-    # nodes that share no component with some other of their family
-    families = components(chain)
-    heads = families.select(F.col("v").alias("u"), "v").distinct()
+    """Links (u, v) that join components inside families."""
     known = roots.select(F.col("u").alias("node"), F.col("v").alias("root"))
     placed = (
-        families.union(heads)
-        .select(F.col("u").alias("node"), F.col("v").alias("family"))
-        .join(known, "node", "left")
+        families.join(known, "node", "left")
         .select("node", "family", F.coalesce("root", "node").alias("root"))
         .join(nodes.select("node", "sig", "n_shingles"), "node")
     )
@@ -548,12 +571,13 @@ def near_duplicates(
         ),
         "nodes",
     )
-    buckets, families = _buckets(nodes, "keys"), _buckets(nodes, "whole_keys")
-    met = buckets.union(families).where("node <> head")
+    buckets, whole = _buckets(nodes, "keys"), _buckets(nodes, "whole_keys")
+    met = buckets.union(whole).where("node <> head")
     pairs = staged(met.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     first = _links(pairs, nodes, texts, settings)
     roots = components(first)
-    across = _across(buckets, roots, pairs)
+    families = staged(_families(whole), "families")
+    across = _across(buckets, roots, families, pairs)
     more = [] if across.isEmpty() else [_links(across, nodes, texts, settings)]
     inside = _family_links(nodes, families, roots, texts, settings)
     more += [] if inside is None else [inside]

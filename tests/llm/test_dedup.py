@@ -1,6 +1,7 @@
 """Exact copies, repeated line runs and near duplicates against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -305,3 +306,63 @@ def test_frequent_shingles_are_counted_over_all_documents(spark):
     held = [" ".join(passages[n]) for n in (6, 7, 40)]
     expected = np.sort(np.concatenate(near_duplicates.shingle_sets(pa.array(held), 5)))
     assert near_duplicates.frequent_shingles(rows, settings).tolist() == expected.tolist()
+
+
+def test_every_linked_pair_of_shares_has_bands_in_common():
+    """Bands of rare shingles or of whole sets, at a similarity of 0.75 and all shares of frequent ones."""
+    settings = near_duplicates.Settings()
+    for a, b, size in itertools.product(range(101), range(101), range(75, 134)):
+        a_, b_, size_ = a / 100, b / 100, size / 100
+        least = 3 / 7 * (1 + size_)
+        frequent, rare = min(a_, b_ * size_), min(1 - a_, (1 - b_) * size_)
+        if frequent + rare < least:
+            continue
+        common = least - frequent
+        # no more than a fifteenth of the rare ones: bands of whole sets
+        alike = max(0.0, common) / max(1e-9, 1 - a_ + (1 - b_) * size_ - common)
+        if alike < 1 / 15 and min(a_, b_) >= settings.whole.least:
+            alike, bands = 0.75, [settings.whole]
+        else:
+            bands = [x for x in settings.banding if x.least <= min(a_, b_) and max(a_, b_) <= x.most]
+        missed = np.prod([(1 - alike**x.rows) ** x.bands for x in bands])
+        assert missed < 2e-5, (a, b, size, alike)
+
+
+def test_members_of_a_family_meet_only_in_its_comparison(spark, monkeypatch):
+    """Variants of one passage whose rare rests have shingles in common, and one outsider."""
+    passage, rows = " ".join(f"b{k}" for k in range(80)), []
+    for n in range(40):
+        # two of every three rests overlap by a rare shingle or more
+        own = [f"own{n}x{k}" for k in range(12)] + [f"pair{n // 3}x{k}" for k in range(12)]
+        rows.append((n + 1, f"{passage} {' '.join(own)}"))
+    rows += [(100, rows[0][1] + " more"), (101, " ".join(f"pair0x{k}" for k in range(12)))]
+    counted, across = {}, near_duplicates._across
+
+    def count(*tables):
+        found = across(*tables)
+        counted["pairs"] = found.count()
+        return found
+
+    monkeypatch.setattr(near_duplicates, "_across", count)
+    settings = near_duplicates.Settings(sampled=1, frequent=20)
+    found = near_duplicates.near_duplicates(table(spark, rows), settings=settings).collect()
+    expected = components_by_hand(rows)
+    assert {r["doc_id"]: r["component_id"] for r in found} == expected
+    assert expected[100] == 1 and len(set(expected.values())) > 20
+    assert counted["pairs"] == 0
+
+
+def test_components_meet_in_a_bucket_unless_in_one_family(spark):
+    """Family numbers may equal those of components, and a component may lie in two families."""
+    nodes = {1: (1, 1), 2: (2, 1), 3: (3, None), 4: (1, None), 5: (5, 2), 6: (2, 2)}
+    buckets = spark.createDataFrame([(7, n, 1) for n in nodes] + [(8, 1, 1), (8, 2, 1)], "key long, node long, head long")
+    roots = spark.createDataFrame([(n, r) for n, (r, _) in nodes.items() if n != r], "u long, v long")
+    families = spark.createDataFrame([(n, f) for n, (_, f) in nodes.items() if f], "node long, family long")
+    tried = spark.createDataFrame([(1, 3)], "a long, b long")
+    found = near_duplicates._across(buckets, roots, families, tried).collect()
+    expected = {
+        (a, b)
+        for a, b in itertools.combinations(nodes, 2)
+        if nodes[a][0] != nodes[b][0] and (nodes[a][1] is None or nodes[a][1] != nodes[b][1])
+    } - {(1, 3)}
+    assert sorted((r["a"], r["b"]) for r in found) == sorted(expected)
