@@ -80,7 +80,7 @@ class Settings:
     a similarity of 0.75 one of more than a half is linked with 1/3 at the least,
     reached where the one adds only frequent shingles to the other, and one of
     more than 0.7 with 0.525, reached where the one drops only rare ones. Single
-    rows make many candidates, so only pairs that need them have them: where
+    rows make many candidates, so they begin no lower than that needs: where
     both shares are 0.7 or less, at least 0.355 of the rare shingles are common
     and bands of two rows miss a pair with probability 1e-7.
     """
